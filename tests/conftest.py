@@ -1,0 +1,25 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tideline.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "local[8]",
+        "tideline-tests",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
