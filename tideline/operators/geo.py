@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import EARTH_RADIUS_M, great_circle_m
+from tideline.operators.skew import MIN_SLICE_ROWS, heavy_groups, sliced_join
+from tideline.schema import KEY
 
+CELL = ("_band", "_cell")
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
 
 
@@ -80,52 +84,32 @@ class CellGrid:
         )
 
 
-# A cell holding more than this share of all stations is cut into slices. At most 1 / share cells can be that heavy,
-# which bounds the broadcast list of heavy cells whatever the data.
-HEAVY_SHARE = 0.001
-
-
-def _slices(placed: DataFrame) -> DataFrame:
-    """Heavy cells and the number of slices each is cut into: at most ``1 / HEAVY_SHARE`` rows."""
-    counts = placed.groupBy("_band", "_cell").agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_all")).scalar()
-    return counts.select(
-        "_band", "_cell", F.ceil(F.col("_n") / (total * F.lit(HEAVY_SHARE))).cast("int").alias("_slices")
-    ).where("_slices > 1")
-
-
 def radius_join(
-    centres: DataFrame, stations: DataFrame, radius_m: float, *, centre_id: str = "code", split_heavy: bool = True
+    centres: DataFrame,
+    stations: DataFrame,
+    radius_m: float,
+    *,
+    centre_id: str = "code",
+    spread_by: Sequence[str] = KEY,
+    min_slice: int = MIN_SLICE_ROWS,
 ) -> DataFrame:
     """Every pair of centre and station at most ``radius_m`` apart: ``centre_id``, station columns, ``distance_m``.
 
     An equi-join on cells: each station is in one cell, each centre is repeated for the few cells its circle touches, so
     a pair meets exactly once and the candidates are within a small factor of the result. A cell that holds a large
-    share of the stations (a dense city) is cut into slices by station, and its centres are repeated per slice: each
-    slice is a group of its own and no task gets the whole cell.
+    share of the stations (a dense city) is cut into slices by station, so no task gets the whole cell.
     """
     grid = CellGrid(radius_m)
-    placed = grid.assign(stations.where("latitude is not null and longitude is not null"))
-    around = grid.cover(
-        centres.where("latitude is not null and longitude is not null").select(
-            F.col(centre_id), F.col("latitude"), F.col("longitude")
-        )
-    ).withColumnsRenamed({"latitude": "_lat", "longitude": "_lon"})
-    meet = ["_band", "_cell"]
-    if split_heavy:
-        heavy = F.broadcast(_slices(placed))
-        count = F.coalesce("_slices", F.lit(1))
-        placed = placed.join(heavy, meet, "left").withColumn(
-            "_slice", F.pmod(F.xxhash64("entity", "product"), count).cast("int")
-        ).drop("_slices")
-        around = around.join(heavy, meet, "left").withColumn(
-            "_slice", F.explode(F.sequence(F.lit(0), count - 1))
-        ).drop("_slices")
-        meet = [*meet, "_slice"]
+    located = "latitude is not null and longitude is not null"
+    placed = grid.assign(stations.where(located))
+    around = grid.cover(centres.where(located).select(centre_id, "latitude", "longitude"))
+    around = around.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon"})
+    counts = placed.groupBy(*CELL).agg(F.count("*").alias("_n"))
+    heavy = heavy_groups(counts, CELL, "_n", min_rows=min_slice)
     distance = great_circle_m(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))
     return (
-        around.join(placed, meet)
+        sliced_join(placed, around, CELL, heavy, spread_by=spread_by)
         .withColumn("distance_m", distance)
         .where(F.col("distance_m") <= F.lit(float(radius_m)))
-        .drop("_lat", "_lon", *meet)
+        .drop("_lat", "_lon", *CELL)
     )

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import units
+from tideline.operators.skew import heavy_groups, null_safe_join, sliced_join
 from tideline.schema import KEY
 
 PEER_GROUP = ("product", "area", "day")
@@ -68,19 +69,22 @@ def peer_totals(panel: DataFrame, *, scale: int = 1000) -> DataFrame:
     )
 
 
-def join_peers(panel: DataFrame, peers: DataFrame, *, peer_rows: int | None, scale: int = 1000) -> DataFrame:
-    """``peer_gap`` from totals of the row's own group (the row itself included).
+def join_peers(
+    panel: DataFrame, peers: DataFrame, *, peer_rows: int | None, scale: int = 1000, key: Sequence[str] = KEY
+) -> DataFrame:
+    """``peer_gap`` from totals of the row's own group (the row itself included; an unknown area is a group too).
 
     ``peer_rows`` is an upper bound of the totals' row count. Within ``MAX_BROADCAST_ROWS`` the totals are broadcast
-    and the wide panel is not shuffled. Without a bound, or beyond it, Spark shuffles both sides by group, and adaptive
-    execution splits a hot group over several tasks.
+    and the wide panel is not shuffled. Without a bound, or beyond it, both sides are shuffled by group, and groups
+    that hold a large share of the rows (their size is in the totals) are cut into slices by key.
     """
-    small = peer_rows is not None and peer_rows <= MAX_BROADCAST_ROWS
-    renamed = peers.withColumnsRenamed({c: f"_peer_{c}" for c in PEER_GROUP})
-    same_group = [F.col(c).eqNullSafe(F.col(f"_peer_{c}")) for c in PEER_GROUP]  # an unknown area is a group too
-    joined = panel.join(F.broadcast(renamed) if small else renamed, same_group)
+    if peer_rows is not None and peer_rows <= MAX_BROADCAST_ROWS:
+        joined = null_safe_join(panel, F.broadcast(peers), PEER_GROUP)
+    else:
+        heavy = heavy_groups(peers, PEER_GROUP, "peer_count")
+        joined = sliced_join(panel, peers, PEER_GROUP, heavy, spread_by=key)
     gap = gap_to_mean(F.col("prev_price"), F.col("peer_units"), F.col("peer_count"), scale)
-    return joined.withColumn("peer_gap", gap).drop("peer_units", "peer_count", *[f"_peer_{c}" for c in PEER_GROUP])
+    return joined.withColumn("peer_gap", gap).drop("peer_units", "peer_count")
 
 
 def with_peer_gap(panel: DataFrame, *, scale: int = 1000, peer_rows: int | None = None) -> DataFrame:

@@ -18,6 +18,8 @@ def build_session(master: str | None = None, app: str = "tideline", **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # the panel grows behind its last shuffle: keep those partitions small
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
