@@ -1,0 +1,272 @@
+"""Dense panel: properties, and agreement of the interval form with plain windows."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from helpers import d, plain_calendar, reading, readings
+from tideline.operators import intervals, series
+from tideline.operators.readings import entity_span, last_per_day, plausible, with_area
+from tideline.operators.state import feed_to_state, roll_state, union_state
+from tideline.plans.forecast import column_scorer, daily_forecast
+from tideline.plans.panel import feature_panel, training_panel
+from tideline.schema import PANEL_COLUMNS, PREDICTION_COLUMNS
+from workload import standins as st
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def event_panel(spark):
+    panel = training_panel(
+        st.readings(spark, SF_DIR), st.calendar(spark, SF_DIR),
+        start=st.START, end=st.END, tie_break=st.TIE, scale=st.SCALE,
+    ).cache()
+    yield panel
+    panel.unpersist()
+
+
+def test_columns(event_panel):
+    assert tuple(event_panel.columns) == PANEL_COLUMNS and len(PANEL_COLUMNS) == 29
+
+
+def test_dense_unique_and_filled(event_panel):
+    per_key = event_panel.groupBy("entity", "product").agg(
+        F.count("*").alias("n"), F.countDistinct("day").alias("days"),
+        (F.datediff(F.max("day"), F.min("day")) + 1).alias("span"),
+    )
+    assert per_key.where("n != days or n != span").count() == 0
+    assert event_panel.where("price is null or prev_price is null").count() == 0
+
+
+def test_interval_features_equal_window_features(spark, event_panel):
+    dense = series.with_prev_price(intervals.asof_daily(st.daily(spark, SF_DIR))).where("prev_price is not null")
+    placed = dense.join(st.entities(spark, SF_DIR).select("entity", "product", "area"), ["entity", "product"])
+    windowed = series.with_days_unchanged(series.with_run_id(series.with_change_flag(placed)))
+    windowed = series.with_peer_gap(series.with_rolling_gap(windowed, scale=100), scale=100)
+    columns = ["entity", "product", "day", "price", "prev_price", "days_unchanged", "rolling_gap", "peer_gap"]
+    assert event_panel.select(columns).exceptAll(windowed.select(columns)).count() == 0
+    assert windowed.count() == event_panel.count()
+
+
+def test_start_selects_rows_but_keeps_history(spark, event_panel):
+    later = feature_panel(
+        st.daily(spark, SF_DIR), st.entities(spark, SF_DIR), st.calendar(spark, SF_DIR, start="2024-01-15"),
+        start="2024-01-15", end=st.END, scale=st.SCALE,
+    )
+    expected = event_panel.where("day >= '2024-01-15'")
+    assert later.exceptAll(expected).count() == 0 and later.count() == expected.count()
+
+
+@pytest.mark.parametrize("window", [2, 5, 10])
+def test_trailing_window_lengths(spark, window):
+    daily = st.daily(spark, SF_DIR)
+    rows = series.with_prev_price(intervals.asof_daily(daily)).where("prev_price is not null")
+    expected = series.with_rolling_gap(rows, window=window, scale=100)
+    found = feature_panel(
+        daily, st.entities(spark, SF_DIR), st.calendar(spark, SF_DIR),
+        start=st.START, end=st.END, window=window, scale=100,
+    )
+    columns = ["entity", "product", "day", "rolling_gap"]
+    assert found.select(columns).exceptAll(expected.select(columns)).count() == 0
+
+
+def test_hand_made_series(spark):
+    """Constant, change, gap, return to an earlier price."""
+    rows = [
+        reading("s", f"2024-01-{day} 08:00:00", price)
+        for day, price in (("01", 1.5), ("02", 1.6), ("03", 1.6), ("06", 1.5), ("08", 1.5))
+    ]
+    panel = training_panel(
+        readings(spark, rows), plain_calendar(spark, "2024-01-01", "2024-01-08"), start="2024-01-01", end="2024-01-08"
+    )
+    found = {r.day.day: (r.price, r.prev_price, r.days_unchanged) for r in panel.collect()}
+    assert found == {
+        2: (1.6, 1.5, 0), 3: (1.6, 1.6, 1), 4: (1.6, 1.6, 2), 5: (1.6, 1.6, 3),
+        6: (1.5, 1.6, 0), 7: (1.5, 1.5, 1), 8: (1.5, 1.5, 2),
+    }
+    gaps = {r.day.day: r.rolling_gap for r in panel.collect()}
+    assert gaps[2] == 0.0
+    assert gaps[8] == pytest.approx(1.5 - (1.5 + 4 * 1.6 + 2 * 1.5) / 7, abs=1e-6)
+
+
+def test_one_hot_key(spark):
+    """One key with most of the readings, many per day: one row per day remains."""
+    hot = spark.range(30_000).selectExpr(
+        "'hot' as entity", "'E10' as product",
+        "cast(timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id) as timestamp_ntz) as observed_at",
+        "1.0 + (id % 100) / 1000.0D as price",
+    )
+    daily = last_per_day(hot)
+    assert [(r.day, r.price) for r in daily.collect()] == [(d("2024-01-01"), 1.099)]
+
+
+# --- decisions taken where the data is ambiguous -------------------------------------------------------------------
+
+
+def test_resent_reading_does_not_multiply_rows(spark):
+    """T1: the feed repeats an unchanged price under its old date; the feed's row replaces the state's."""
+    first = readings(spark, [reading("s", "2024-01-02 09:00:00", 1.5)])
+    feed = readings(spark, [reading("s", "2024-01-02 09:00:00", 1.55)])
+    merged = union_state(feed_to_state(first), feed_to_state(feed))
+    assert [(r.day, r.price) for r in merged.collect()] == [(d("2024-01-02"), 1.55)]
+
+
+def test_old_last_change_keeps_the_key(spark):
+    """T2: last change 40 days ago; the key stays in the state and in the forecast."""
+    state = feed_to_state(
+        readings(spark, [reading("s", "2024-01-01 09:00:00", 1.4), reading("s", "2024-01-10 09:00:00", 1.5)])
+    )
+    rolled = roll_state(state, "2024-02-19")
+    assert [(r.day, r.price) for r in rolled.collect()] == [(d("2024-01-10"), 1.5)]
+    calendar = plain_calendar(spark, "2024-02-19", "2024-02-19", ref=[("2024-02-10", 80.0)])
+    rows = daily_forecast(state, calendar, column_scorer(F.lit(0.003)), as_of="2024-02-19").collect()
+    assert len(rows) == 1 and rows[0].price == 1.5 and rows[0].predicted_price == 1.503 and rows[0].trend == "up"
+    assert tuple(rows[0].asDict()) == PREDICTION_COLUMNS
+
+
+def test_rolling_twice_changes_nothing(spark):
+    days = ["2023-11-01", "2023-12-24", "2024-01-02", "2024-01-10", "2024-01-16", "2024-01-18"]
+    state = feed_to_state(readings(spark, [reading("s", f"{x} 09:00:00", 1.0 + i / 10) for i, x in enumerate(days)]))
+    once = roll_state(state, "2024-01-18")
+    assert sorted(str(r.day) for r in once.collect()) == days[2:]
+    assert roll_state(once, "2024-01-18").exceptAll(once).count() == 0
+    assert roll_state(once, "2024-01-18").count() == once.count()
+
+
+def test_last_reading_by_time_then_price(spark):
+    """T3: timestamps are compared as timestamps, ties broken by value."""
+    rows = readings(
+        spark,
+        [
+            reading("s", "2024-01-01 09:00:00", 1.1), reading("s", "2024-01-01 10:00:00", 1.2),
+            reading("t", "2024-01-01 09:00:00", 1.3), reading("t", "2024-01-01 09:00:00", 1.4),
+        ],
+    )
+    assert {r.entity: r.price for r in last_per_day(rows).collect()} == {"s": 1.2, "t": 1.4}
+
+
+def test_plausible_bounds_are_open(spark):
+    """T4, P3, P7"""
+    rows = readings(spark, [reading("s", "2024-01-01 09:00:00", p) for p in (0.5, 0.51, 3.49, 3.5, None)])
+    missing_time = readings(spark, [reading("s", None, 1.0)])
+    assert sorted(r.price for r in plausible(rows.union(missing_time)).collect()) == [0.51, 3.49]
+
+
+def test_holiday_neighbours_come_from_the_calendar(spark):
+    """T5: also across the edges of the kept range."""
+    calendar = plain_calendar(spark, "2024-01-02", "2024-01-04", holidays=["2024-01-01", "2024-01-05", "2024-01-05"])
+    flags = {r.day.day: (r.is_holiday, r.before_holiday, r.after_holiday) for r in calendar.collect()}
+    assert flags == {2: (False, False, True), 3: (False, False, False), 4: (False, True, False)}
+
+
+def test_changed_address_keeps_one_series(spark):
+    """T6: attributes of the latest reading."""
+    moved = (46.5, 2.5, "69300", "R", "Lyon", "9 rue B")
+    rows = readings(
+        spark, [reading("s", "2024-01-01 09:00:00", 1.1), reading("s", "2024-01-03 09:00:00", 1.2, place=moved)]
+    )
+    span = entity_span(rows).collect()
+    assert len(span) == 1 and span[0].address == "9 rue B" and span[0].first_day == d("2024-01-01")
+    panel = training_panel(
+        rows, plain_calendar(spark, "2024-01-01", "2024-01-03"), start="2024-01-01", end="2024-01-03"
+    )
+    assert panel.count() == 2
+
+
+def test_backfill_is_optional(spark):
+    """T7"""
+    from tideline.operators.calendar import calendar_range, ref_fill, with_ref
+
+    ref = spark.createDataFrame([(d("2024-01-03"), 80.0)], "day date, ref double")
+    days = with_ref(calendar_range(spark, "2024-01-01", "2024-01-05"), ref)
+    assert [r.ref_lag0 for r in ref_fill(days).orderBy("day").collect()] == [None, None, 80.0, 80.0]
+    assert [r.ref_lag0 for r in ref_fill(days, backfill=True).orderBy("day").collect()] == [80.0] * 4
+
+
+def test_first_day_is_dropped_and_starts_no_run(spark):
+    """T9: the first run counts from the second day."""
+    rows = readings(spark, [reading("s", "2024-01-01 09:00:00", 1.1), reading("s", "2024-01-04 09:00:00", 1.1)])
+    panel = training_panel(
+        rows, plain_calendar(spark, "2024-01-01", "2024-01-04"), start="2024-01-01", end="2024-01-04"
+    )
+    assert {r.day.day: r.days_unchanged for r in panel.collect()} == {2: 0, 3: 1, 4: 2}
+
+
+def test_anchor_of_the_prediction(spark):
+    """T10: forecast from the day's own price, evaluation from the previous one."""
+    from tideline.plans.forecast import decide
+
+    row = spark.createDataFrame([(1.5, 1.4, 0.01)], "price double, prev_price double, raw_delta double")
+    assert decide(row).first().predicted_price == 1.51
+    assert decide(row, anchor="prev_price").first().predicted_price == 1.41
+
+
+def test_late_reference_quote(spark):
+    """T11"""
+    from tideline.operators.calendar import calendar_range, ref_fill, ref_lags, with_ref
+
+    ref = spark.createDataFrame([(d(f"2024-01-0{i}"), float(i)) for i in range(1, 9)], "day date, ref double")
+    filled = ref_fill(with_ref(calendar_range(spark, "2024-01-01", "2024-01-09"), ref))
+    last = ref_lags(filled, delay=1).where("day = '2024-01-08'").first()
+    assert (last.ref_lag0, last.ref_lag1, last.ref_lag3) == (7.0, 6.0, 4.0)
+
+
+def test_unknown_breaks_are_false(spark):
+    """T13"""
+    row = plain_calendar(spark, "2024-01-01", "2024-01-01").first()
+    assert (row.break_zone_a, row.break_zone_b, row.break_zone_c) == (False, False, False)
+
+
+def test_series_end(spark):
+    """T16: last reading, or a later date."""
+    rows = readings(spark, [reading("s", "2024-01-01 09:00:00", 1.1), reading("s", "2024-01-02 09:00:00", 1.2)])
+    daily, entities = last_per_day(rows), with_area(entity_span(rows))
+    calendar = plain_calendar(spark, "2024-01-01", "2024-01-05")
+    assert feature_panel(daily, entities, calendar, start="2024-01-01", end="2024-01-05").count() == 1
+    assert feature_panel(daily, entities, calendar, start="2024-01-01", end="2024-01-05", extend=True).count() == 4
+
+
+def test_readings_after_the_day_are_ignored(spark):
+    state = feed_to_state(
+        readings(spark, [reading("s", "2024-01-01 09:00:00", 1.1), reading("s", "2024-01-09 09:00:00", 1.9)])
+    )
+    calendar = plain_calendar(spark, "2024-01-05", "2024-01-05")
+    assert daily_forecast(state, calendar, column_scorer(F.lit(0.0)), as_of="2024-01-05").first().price == 1.1
+
+
+def test_unknown_area_is_a_peer_group(spark):
+    nowhere = (None, None, None, "R", "Lyon", "1 rue A")
+    rows = [reading(e, f"2024-01-0{i} 09:00:00", p, place=nowhere) for e, p in (("s", 1.0), ("t", 2.0)) for i in (1, 2)]
+    for groups in (None, 1):
+        panel = training_panel(
+            readings(spark, rows), plain_calendar(spark, "2024-01-01", "2024-01-02"),
+            start="2024-01-01", end="2024-01-02", peer_groups=groups,
+        )
+        assert {r.entity: r.peer_gap for r in panel.collect()} == {"s": -0.5, "t": 0.5}
+
+
+def test_split_boundaries(spark):
+    from tideline.plans.panel import with_split
+
+    days = spark.createDataFrame([(d(x),) for x in ("2024-01-01", "2024-01-05", "2024-01-06", "2024-01-09")], "day date")
+    parts = with_split(days, train=("2024-01-02", "2024-01-05"), valid_from="2024-01-09")
+    assert {(str(r.day), r.part) for r in parts.collect()} == {("2024-01-05", "train"), ("2024-01-09", "valid")}
+
+
+def test_calendar_length_is_checked(spark):
+    from tideline.operators.calendar import calendar_range
+
+    assert calendar_range(spark, "2024-01-01", "2024-01-01").count() == 0
+    assert calendar_range(spark, "2024-02-28", "2024-03-01").count() == 2
+    with pytest.raises(ValueError):
+        calendar_range(spark, "1900-01-01", "2100-01-01")
+
+
+def test_window_sees_days_not_readings(spark):
+    """What the key windows rely on: after the daily reduction a key has at most one row per day."""
+    daily = st.daily(spark, SF_DIR)
+    rank = F.row_number().over(Window.partitionBy("entity", "product", "day").orderBy("price"))
+    assert daily.withColumn("n", rank).where("n > 1").count() == 0
