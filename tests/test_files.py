@@ -7,7 +7,9 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import d
+from helpers import d, reading
+from helpers import readings as readings_table
+from tideline.operators.state import feed_to_state
 from tideline.sources import readers, writers
 
 XML = """<?xml version="1.0" encoding="ISO-8859-1"?>
@@ -119,15 +121,21 @@ def test_publishing_again_changes_nothing(spark, tmp_path):
     assert (tmp_path / "archive" / "day=2025-01-03").is_dir()
 
 
+def state(spark, day, price):
+    rows = [reading("s", f"{day} 09:00:00", price)]
+    return feed_to_state(readings_table(spark, rows))
+
+
 def test_state_versions(spark, tmp_path):
     """S17: a run writes a new version and can read the previous one while doing so."""
     root = str(tmp_path)
-    writers.write_state(predictions(spark, "2025-01-02", 1.5), root, "2025-01-02")
-    previous = writers.read_state(spark, root, "2025-01-02")
-    writers.write_state(previous.union(predictions(spark, "2025-01-03", 1.6)), root, "2025-01-03")
-    writers.write_state(previous.union(predictions(spark, "2025-01-03", 1.7)), root, "2025-01-03")
-    assert writers.read_state(spark, root, "2025-01-03").count() == 2
-    assert writers.read_state(spark, root, "2025-01-02").count() == 1
+    writers.write_state(state(spark, "2025-01-02", 1.5), root, "2025-01-02")
+    for price in (1.6, 1.7):  # the second run repeats the first
+        previous = writers.read_state(spark, root, before="2025-01-03")
+        writers.write_state(previous.union(state(spark, "2025-01-03", price)), root, "2025-01-03")
+    assert writers.read_state(spark, root, before="2025-01-03").count() == 1
+    found = writers.read_state(spark, root, before="2025-01-04")
+    assert sorted((str(r.day), r.price) for r in found.collect()) == [("2025-01-02", 1.5), ("2025-01-03", 1.7)]
 
 
 def test_zstd(spark, tmp_path):

@@ -72,7 +72,7 @@ def panel_grid(spans: DataFrame, *, key: Sequence[str] = KEY) -> DataFrame:
 
 
 def price_history(
-    daily: DataFrame, *, key: Sequence[str] = KEY, window: int = 7, scale: int = 1000
+    daily: DataFrame, *, key: Sequence[str] = KEY, window: int = 7, scale: int = 1000, carry: Sequence[str] = ()
 ) -> DataFrame:
     """Validity intervals plus what the features need about the past, all from one window over the key.
 
@@ -80,13 +80,15 @@ def price_history(
     changed, NULL before any change) and, for j = 0 .. ``window``, ``_start{j}`` / ``_units{j}``: first day and price
     of the j-th interval back. A trailing week touches at most ``window`` earlier intervals.
 
-    Only ``day`` and ``price`` enter the window, so that every use of the history reads the same shuffle.
+    ``carry`` names further columns of the reading to keep. Without them only ``day`` and ``price`` enter the window,
+    so that every use of the history reads the same shuffle.
     """
     ordered = f"over (partition by {', '.join(key)} order by day)"
     to_here = f"over (partition by {', '.join(key)} order by day rows between unbounded preceding and current row)"
     back = range(1, window + 1)
     history = daily.selectExpr(
         *key,
+        *carry,
         "day",
         "price",
         f"lead(day) {ordered} as next_day",
@@ -97,7 +99,7 @@ def price_history(
     )
     in_units = "cast(rint({} * {}D) as bigint) as _units{}"
     return history.selectExpr(
-        *key, "day", "price", "next_day", "first_day", "last_price",
+        *key, *carry, "day", "price", "next_day", "first_day", "last_price",
         f"last_value(if(price != last_price, day, null)) ignore nulls {to_here} as run_day",
         "day as _start0",
         in_units.format("price", float(scale), 0),

@@ -25,14 +25,15 @@ def union_state(state: DataFrame, feed: DataFrame, *, key: Sequence[str] = KEY)
     """State and feed (both in state layout) as one row per key and day; the feed wins.
 
     A feed repeats the latest price under its original date until it changes, so most of its rows are already in the
-    state. Combined on the map side; a group holds at most one row of each side.
+    state. Both sides hold one row per key and day and few days, so they are shuffled by key alone: the choice here and
+    every later step by key (roll, attributes, history) run on that one shuffle.
     """
     values = [c for c in STATE_COLUMNS if c not in (*key, "day")]
     both = state.select(*STATE_COLUMNS, F.lit(0).alias("_source")).unionByName(
         feed.select(*STATE_COLUMNS, F.lit(1).alias("_source"))
     )
     winner = F.max(F.struct("_source", *values)).alias("_row")
-    return both.groupBy(*key, "day").agg(winner).select(*key, "day", *[F.col("_row")[c].alias(c) for c in values])
+    return both.repartition(*key).groupBy(*key, "day").agg(winner).select(*key, "day", *[F.col("_row")[c].alias(c) for c in values])
 
 
 def roll_state(
@@ -50,9 +51,3 @@ def roll_state(
         .where((F.col("day") >= cutoff) | F.col("_next").isNull() | (F.col("_next") >= cutoff))
         .drop("_next")
     )
-
-
-def span_of_state(merged: DataFrame) -> DataFrame:
-    """Entity attributes as of the key's latest row in the state."""
-    newest = F.max(F.struct("day", *ATTRIBUTES)).alias("_latest")
-    return merged.groupBy(*KEY).agg(newest).select(*KEY, *[F.col("_latest")[a].alias(a) for a in ATTRIBUTES])

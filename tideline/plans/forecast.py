@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from tideline.functions.decisions import dead_band, predicted_price, published_delta, trend_label
 from tideline.operators.readings import with_area
-from tideline.operators.state import feed_to_state, span_of_state, union_state
-from tideline.plans.panel import feature_panel
+from tideline.operators.state import feed_to_state, roll_state, union_state
+from tideline.plans.panel import count_peer_groups, feature_panel
 from tideline.schema import PREDICTION_COLUMNS
+from tideline.session import settle
+from tideline.sources.writers import publish_snapshot, write_state
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -54,17 +56,35 @@ def daily_forecast(
     """Predictions for every key of the merged state, as of one day.
 
     The same feature function as in training, asked for a single day: each key yields one row from the interval that
-    contains ``as_of``, and no day before it is generated.
+    contains ``as_of``, and no day before it is generated. That interval is the key's latest reading, so its attributes
+    are the current ones and need no table of entities.
     """
     known = merged.where(F.col("day") <= F.lit(str(as_of)).cast("date"))
     panel = feature_panel(
-        known.select("entity", "product", "day", "price"),
-        with_area(span_of_state(known)),
-        calendar,
-        start=as_of,
-        end=as_of,
-        extend=True,
-        scale=scale,
-        peer_groups=peer_groups,
+        with_area(known), None, calendar, start=as_of, end=as_of, extend=True, scale=scale, peer_groups=peer_groups
     )
     return decide(scorer(panel)).select(*PREDICTION_COLUMNS)
+
+
+def run_day(
+    state: DataFrame,
+    feed: DataFrame,
+    calendar: DataFrame,
+    scorer: Scorer,
+    *,
+    root: str,
+    as_of: date | str,
+    version: str | None = None,
+    tie_break: Sequence[str] = (),
+    scale: int = 1000,
+) -> None:
+    """One daily run: merge, forecast, publish, roll.
+
+    The merged state feeds several steps and is written once. The new state is written last and under its own version:
+    a run that broke off can be repeated as a whole and leaves the same files.
+    """
+    merged = settle(merged_state(state, feed, tie_break=tie_break), "merged")
+    groups = count_peer_groups(with_area(merged))
+    forecast = daily_forecast(merged, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups)
+    publish_snapshot(forecast, root, as_of)
+    write_state(roll_state(merged, as_of), root, version or str(as_of))

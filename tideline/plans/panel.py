@@ -12,7 +12,7 @@ from tideline.functions.scalars import ref_spread, weekday_index
 from tideline.operators.intervals import expand_days, price_history, trailing_units
 from tideline.operators.readings import entity_span, last_per_day, with_area
 from tideline.operators.series import gap_to_mean, join_peers, peer_totals
-from tideline.schema import KEY, PANEL_COLUMNS
+from tideline.schema import ATTRIBUTES, KEY, PANEL_COLUMNS
 
 
 def count_peer_groups(entities: DataFrame) -> int:
@@ -22,7 +22,7 @@ def count_peer_groups(entities: DataFrame) -> int:
 
 def feature_panel(
     daily: DataFrame,
-    entities: DataFrame,
+    entities: DataFrame | None,
     calendar: DataFrame,
     *,
     start: date | str,
@@ -36,7 +36,8 @@ def feature_panel(
     """The 29-column panel for the days ``start .. end``.
 
     ``daily`` has one reading per key and day, ``entities`` one row per key (attributes and ``area``), ``calendar`` one
-    row per day, from :func:`tideline.operators.calendar.daily_calendar`. A series stops at its last reading; with
+    row per day, from :func:`tideline.operators.calendar.daily_calendar`. Without ``entities`` the attributes and the area
+    are columns of ``daily``, and a day shows those of the reading it is filled from. A series stops at its last reading; with
     ``extend`` it goes on to ``end``. Its first day has no previous price and is left out. ``scale`` is the number of
     price units kept in sums (1000 for three decimals).
 
@@ -47,7 +48,10 @@ def feature_panel(
 
     Shuffles: ``daily`` by key, ``entities`` by key, the peer totals. Both uses of the history read the same exchange.
     """
-    history = price_history(daily, window=window, scale=scale).join(entities.drop("first_day", "last_day"), list(KEY))
+    carry = () if entities is not None else (*ATTRIBUTES, "area")
+    history = price_history(daily, window=window, scale=scale, carry=carry)
+    if entities is not None:
+        history = history.join(entities.drop("first_day", "last_day"), list(KEY))
     rows = _expand(history, start, end, extend)
     prev_price = F.when(F.col("day") == F.col("_reading_day"), F.col("last_price")).otherwise(F.col("price"))
     rows = rows.withColumn("prev_price", prev_price)

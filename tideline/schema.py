@@ -30,6 +30,13 @@ READING_SCHEMA = T.StructType(
 
 STATE_COLUMNS = ("entity", "product", "day", "price", *ATTRIBUTES)
 
+STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("day", T.DateType()) if name == "day" else READING_SCHEMA[name]
+        for name in STATE_COLUMNS
+    ]
+)
+
 PANEL_COLUMNS = (
     "entity", "product", "day", "price", "prev_price",
     *ATTRIBUTES,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "tideline", **conf: str) -> SparkSession:
@@ -52,3 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, never used folder under the shared one."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(table: DataFrame, label: str) -> DataFrame:
+    """Compute a table once for several uses: write it to the shared folder and read it back.
+
+    The copy outlives lost executors, cuts the lineage, and each use reads only the columns it needs.
+    """
+    path = fresh_path(table.sparkSession, label)
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

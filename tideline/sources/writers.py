@@ -6,6 +6,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tideline.schema import STATE_COLUMNS, STATE_SCHEMA
+
+VERSIONED_STATE = T.StructType([*STATE_SCHEMA.fields, T.StructField("version", T.StringType())])
 
 
 def write_table(table: DataFrame, path: str, *, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
@@ -33,12 +38,13 @@ def publish_snapshot(predictions: DataFrame, root: str, as_of: date | str) -> No
     write_table(today, f"{root}/latest", mode="overwrite")
 
 
-def write_state(state: DataFrame, root: str, as_of: date | str) -> str:
-    """Write the state as a new version named after its day; a repeated run replaces only that version."""
-    path = f"{root}/state/as_of={as_of}"
-    write_table(state, path, mode="overwrite")
-    return path
+def write_state(state: DataFrame, root: str, version: str) -> None:
+    """Write the state as a version of its own; a repeated run replaces only that version."""
+    write_table(state.select(*STATE_COLUMNS), f"{root}/state/version={version}", mode="overwrite")
 
 
-def read_state(spark: SparkSession, root: str, as_of: date | str) -> DataFrame:
-    return spark.read.parquet(f"{root}/state/as_of={as_of}")
+def read_state(spark: SparkSession, root: str, *, before: str) -> DataFrame:
+    """The newest version that sorts before ``before``: a repeated run starts from the same state as the first."""
+    versions = spark.read.schema(VERSIONED_STATE).parquet(f"{root}/state").where(F.col("version") < F.lit(before))
+    newest = versions.agg(F.max("version").alias("version")).first().version
+    return versions.where(F.col("version") == F.lit(newest)).drop("version")

@@ -12,7 +12,7 @@ from tideline import functions as fn
 from tideline.operators import calendar as cal
 from tideline.operators import geo, intervals, metrics, readings as rd, series, state
 from tideline.plans import comparator, forecast, panel as pl
-from tideline.session import fresh_path
+from tideline.session import fresh_path, settle
 from tideline.sources import readers, writers
 from workload import standins as st
 
@@ -152,7 +152,7 @@ def union_state(spark, sf_dir):
 def _forecast(spark, sf_dir):
     groups = pl.count_peer_groups(st.area_names(spark, sf_dir, "events", "user_id", "event_type"))
     return forecast.daily_forecast(
-        merged(spark, sf_dir), st.calendar(spark, sf_dir, start=AS_OF, end=AS_OF),
+        settle(merged(spark, sf_dir), "merged"), st.calendar(spark, sf_dir, start=AS_OF, end=AS_OF),
         forecast.column_scorer(raw_delta()), as_of=AS_OF, scale=st.SCALE, peer_groups=groups,
     )
 
