@@ -57,6 +57,36 @@ def test_hot_cell_is_sliced_and_whole(spark):
     assert per_code == {0: 300, 1: 300}
 
 
+def test_hot_cell_on_both_sides(spark):
+    """Many centres and many stations in one place: both are sliced, every pair meets once."""
+    stations = [(45.0, 5.0)] * 80 + globe(100, 4)
+    centres = [(45.0, 5.0)] * 50 + globe(60, 5)
+    found = geo.radius_join(*tables(spark, centres, stations), 5_000.0, min_slice=7)
+    pairs = [(r.code, r.entity) for r in found.collect()]
+    assert len(pairs) == len(set(pairs))
+    expected = sum(metres(a, b) <= 5_000 for a in centres for b in stations)
+    assert len(pairs) == expected >= 80 * 50
+
+
+def test_sliced_join_equals_plain_join(spark):
+    from tideline.operators.skew import heavy_groups, sliced_join
+
+    left = spark.range(900).selectExpr("if(id % 3 = 0, null, id % 50) as k", "id as a")
+    right = spark.range(300).selectExpr("if(id % 4 = 0, null, id % 70) as k", "id as b")
+
+    def heavy(table):
+        return heavy_groups(table.groupBy("k").count(), ["k"], "count", min_rows=5)
+
+    found = sliced_join(
+        left, right, ["k"],
+        heavy_left=heavy(left), spread_left=["a"], heavy_right=heavy(right), spread_right=["b"],
+    )
+    same = F.col("l.k").eqNullSafe(F.col("r.k"))
+    expected = left.alias("l").join(right.alias("r"), same).select("l.k", "a", "b")
+    assert found.select("k", "a", "b").exceptAll(expected).count() == 0
+    assert found.count() == expected.count()
+
+
 def test_heavy_list_is_bounded(spark):
     from tideline.operators.skew import heavy_groups
 

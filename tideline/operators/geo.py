@@ -97,18 +97,23 @@ def radius_join(
 
     An equi-join on cells: each station is in one cell, each centre is repeated for the few cells its circle touches, so
     a pair meets exactly once and the candidates are within a small factor of the result. A cell that holds a large
-    share of the stations (a dense city) is cut into slices by station, so no task gets the whole cell.
+    share of the stations or of the centres (a dense city) is cut into slices, so no task gets the whole cell.
     """
     grid = CellGrid(radius_m)
     located = "latitude is not null and longitude is not null"
     placed = grid.assign(stations.where(located))
     around = grid.cover(centres.where(located).select(centre_id, "latitude", "longitude"))
     around = around.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon"})
-    counts = placed.groupBy(*CELL).agg(F.count("*").alias("_n"))
-    heavy = heavy_groups(counts, CELL, "_n", min_rows=min_slice)
+    def crowded(points: DataFrame) -> DataFrame:
+        return heavy_groups(points.groupBy(*CELL).agg(F.count("*").alias("_n")), CELL, "_n", min_rows=min_slice)
+
     distance = great_circle_m(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))
     return (
-        sliced_join(placed, around, CELL, heavy, spread_by=spread_by)
+        sliced_join(
+            placed, around, CELL,
+            heavy_left=crowded(placed), spread_left=spread_by,
+            heavy_right=crowded(around), spread_right=(centre_id,),
+        )
         .withColumn("distance_m", distance)
         .where(F.col("distance_m") <= F.lit(float(radius_m)))
         .drop("_lat", "_lon", *CELL)

@@ -82,7 +82,7 @@ def join_peers(
         joined = null_safe_join(panel, F.broadcast(peers), PEER_GROUP)
     else:
         heavy = heavy_groups(peers, PEER_GROUP, "peer_count")
-        joined = sliced_join(panel, peers, PEER_GROUP, heavy, spread_by=key)
+        joined = sliced_join(panel, peers, PEER_GROUP, heavy_left=heavy, spread_left=key)
     gap = gap_to_mean(F.col("prev_price"), F.col("peer_units"), F.col("peer_count"), scale)
     return joined.withColumn("peer_gap", gap).drop("peer_units", "peer_count")
 

@@ -33,18 +33,46 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def sliced_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], heavy: DataFrame, *, spread_by: Sequence[str]
-) -> DataFrame:
-    """Inner equi-join of ``big`` with ``small``, heavy groups of ``big`` cut into slices by ``spread_by``."""
+def _with_slices(table: DataFrame, keys: Sequence[str], heavy: DataFrame, slice_of, into: str) -> DataFrame:
+    """Add the slice column ``into``; ``slice_of`` maps the group's number of slices (1 if light) to it."""
     listed = heavy.withColumnsRenamed({k: f"_heavy_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_heavy_{k}")) for k in keys])
-    slices = F.coalesce("_slices", F.lit(1))
-    extra = ["_slices", *[f"_heavy_{k}" for k in keys]]
-    cut = big.join(F.broadcast(listed), same, "left").withColumn(
-        "_slice", F.pmod(F.xxhash64(*spread_by), slices).cast("int")
-    )
-    repeated = small.join(F.broadcast(listed), same, "left").withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), slices - 1))
+    found = table.join(F.broadcast(listed), same, "left")
+    return found.withColumn(into, slice_of(F.coalesce("_slices", F.lit(1)))).drop(
+        "_slices", *[f"_heavy_{k}" for k in keys]
     )
-    return null_safe_join(cut.drop(*extra), repeated.drop(*extra), [*keys, "_slice"]).drop("_slice")
+
+
+def _cut(table: DataFrame, keys: Sequence[str], heavy: DataFrame, spread_by: Sequence[str], into: str) -> DataFrame:
+    """Each row in one slice of its group."""
+    return _with_slices(table, keys, heavy, lambda n: F.pmod(F.xxhash64(*spread_by), n).cast("int"), into)
+
+
+def _repeat(table: DataFrame, keys: Sequence[str], heavy: DataFrame, into: str) -> DataFrame:
+    """Each row once per slice of its group."""
+    return _with_slices(table, keys, heavy, lambda n: F.explode(F.sequence(F.lit(0), n - 1)), into)
+
+
+def sliced_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    *,
+    heavy_left: DataFrame,
+    spread_left: Sequence[str],
+    heavy_right: DataFrame | None = None,
+    spread_right: Sequence[str] = (),
+) -> DataFrame:
+    """Inner equi-join whose heavy groups are cut into slices.
+
+    A group that is heavy on the left is cut by ``spread_left`` and met by a copy of the right rows per slice; likewise
+    the other way round if ``heavy_right`` is given. Every pair of rows still meets in exactly one slice.
+    """
+    by = [*keys, "_left_slice"]
+    left = _cut(left, keys, heavy_left, spread_left, "_left_slice")
+    right = _repeat(right, keys, heavy_left, "_left_slice")
+    if heavy_right is not None:
+        by.append("_right_slice")
+        left = _repeat(left, keys, heavy_right, "_right_slice")
+        right = _cut(right, keys, heavy_right, spread_right, "_right_slice")
+    return null_safe_join(left, right, by).drop("_left_slice", "_right_slice")

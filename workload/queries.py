@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tideline import functions as fn
 from tideline.operators import calendar as cal
 from tideline.operators import geo, intervals, metrics, readings as rd, series, state
-from tideline.plans import comparator, forecast, panel as pl
+from tideline.plans import comparator, forecast, model, panel as pl
 from tideline.session import fresh_path, settle
 from tideline.sources import readers, writers
 from workload import standins as st
@@ -451,6 +451,17 @@ def classification_report(spark, sf_dir):
     return metrics.classification_report(scored(spark, sf_dir))
 
 
+@query
+def train_evaluate(spark, sf_dir):
+    """Fit on the first weeks of the event panel, report on the rest. No SQL form; a small number of trees."""
+    panel = settle(event_panel(spark, sf_dir), "panel")
+    parts = pl.with_split(panel, train=(st.START, "2024-01-20"), valid_from="2024-01-21")
+    _, reports = model.train_and_evaluate(
+        parts.where("part = 'train'"), parts.where("part = 'valid'"), trees=10, rate=0.1
+    )
+    return reports["classes"]
+
+
 # --- locations -----------------------------------------------------------------------------------------------------
 
 
