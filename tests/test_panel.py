@@ -178,10 +178,10 @@ def test_changed_address_keeps_one_series(spark):
 
 def test_backfill_is_optional(spark):
     """T7"""
-    from tideline.operators.calendar import calendar_range, ref_fill, with_ref
+    from tideline.operators.calendar import calendar_range, ref_fill, with_facts
 
     ref = spark.createDataFrame([(d("2024-01-03"), 80.0)], "day date, ref double")
-    days = with_ref(calendar_range(spark, "2024-01-01", "2024-01-05"), ref)
+    days = with_facts(calendar_range(spark, "2024-01-01", "2024-01-05"), ref=ref)
     assert [r.ref_lag0 for r in ref_fill(days).orderBy("day").collect()] == [None, None, 80.0, 80.0]
     assert [r.ref_lag0 for r in ref_fill(days, backfill=True).orderBy("day").collect()] == [80.0] * 4
 
@@ -206,10 +206,10 @@ def test_anchor_of_the_prediction(spark):
 
 def test_late_reference_quote(spark):
     """T11"""
-    from tideline.operators.calendar import calendar_range, ref_fill, ref_lags, with_ref
+    from tideline.operators.calendar import calendar_range, ref_fill, ref_lags, with_facts
 
     ref = spark.createDataFrame([(d(f"2024-01-0{i}"), float(i)) for i in range(1, 9)], "day date, ref double")
-    filled = ref_fill(with_ref(calendar_range(spark, "2024-01-01", "2024-01-09"), ref))
+    filled = ref_fill(with_facts(calendar_range(spark, "2024-01-01", "2024-01-09"), ref=ref))
     last = ref_lags(filled, delay=1).where("day = '2024-01-08'").first()
     assert (last.ref_lag0, last.ref_lag1, last.ref_lag3) == (7.0, 6.0, 4.0)
 

@@ -7,6 +7,7 @@ here that a window orders without partitioning, and the only one that is always
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,23 +40,32 @@ def calendar_range(spark: SparkSession, start: date | str, stop: date | str) ->
     return days
 
 
-def with_ref(calendar: DataFrame, ref: DataFrame) -> DataFrame:
-    """Add ``ref``, the quote of the day; several quotes of one day count once (the highest)."""
-    return calendar.join(ref.groupBy("day").agg(F.max("ref").alias("ref")), "day", "left")
-
-
-def with_holiday(calendar: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Add ``is_holiday``; a day listed twice counts once."""
-    listed = holidays.select(F.col("day").cast("date").alias("day")).distinct().withColumn("_listed", F.lit(True))
-    return calendar.join(listed, "day", "left").withColumn("is_holiday", F.col("_listed").isNotNull()).drop("_listed")
-
+def with_facts(
+    calendar: DataFrame,
+    *,
+    ref: DataFrame | None = None,
+    holidays: DataFrame | None = None,
+    breaks: DataFrame | None = None,
+) -> DataFrame:
+    """Add what is known about each day: ``ref``, ``is_holiday``, the three school-break flags (those that are given).
 
-def with_breaks(calendar: DataFrame, breaks: DataFrame) -> DataFrame:
-    """Add the three school-break flags as BOOLEAN, FALSE where unknown."""
-    per_day = breaks.groupBy(F.col("day").cast("date").alias("day")).agg(
-        *[F.max(F.col(z).cast("boolean")).alias(z) for z in BREAK_ZONES]
-    )
-    return calendar.join(per_day, "day", "left").withColumns({z: flag_or_false(F.col(z)) for z in BREAK_ZONES})
+    Unlisted days have no ``ref`` and FALSE flags. A day given several times counts once: highest quote, any flag. The
+    sources are stacked and reduced to one row per day in a single aggregation, then joined once.
+    """
+    parts = []
+    if ref is not None:
+        parts.append(ref.selectExpr("cast(day as date) as day", "ref"))
+    if holidays is not None:
+        parts.append(holidays.selectExpr("cast(day as date) as day", "true as is_holiday"))
+    if breaks is not None:
+        parts.append(
+            breaks.selectExpr("cast(day as date) as day", *[f"cast({z} as boolean) as {z}" for z in BREAK_ZONES])
+        )
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    facts = [c for c in stacked.columns if c != "day"]
+    per_day = stacked.groupBy("day").agg(*[F.max(c).alias(c) for c in facts])
+    known = calendar.join(per_day, "day", "left")
+    return known.withColumns({c: flag_or_false(F.col(c)) for c in facts if c != "ref"})
 
 
 def ref_fill(calendar: DataFrame, *, backfill: bool = False) -> DataFrame:
@@ -123,6 +133,6 @@ def daily_calendar(
     """
     first = _as_date(start) - timedelta(days=warmup_days)
     days = calendar_range(spark, first, _as_date(end) + timedelta(days=2))
-    table = with_breaks(with_holiday(with_ref(days, ref), holidays), breaks)
+    table = with_facts(days, ref=ref, holidays=holidays, breaks=breaks)
     table = holiday_neighbours(ref_diffs(ref_lags(ref_fill(table, backfill=backfill), delay=ref_delay)))
     return table.where(F.col("day").between(str(_as_date(start)), str(_as_date(end))))

@@ -52,16 +52,17 @@ def entity_span(
     attribute variant on the map side, however many readings a key has. Only the variants are then compared.
     Variants seen at the same instant are ordered by their values.
     """
-    variants = readings.groupBy(*key, *attributes).agg(
-        F.min(F.to_date(time)).alias("_first"),
-        F.max(F.to_date(time)).alias("_last"),
-        F.max(time).alias("_seen"),
-    )
-    latest = F.max(F.struct("_seen", *attributes))
+    names = ", ".join(attributes)
     return (
-        variants.groupBy(*key)
-        .agg(F.min("_first").alias("first_day"), F.max("_last").alias("last_day"), latest.alias("_latest"))
-        .select(*key, "first_day", "last_day", *[F.col("_latest")[a].alias(a) for a in attributes])
+        readings.groupBy(*key, *attributes)
+        .agg(F.expr(f"struct(min(to_date({time})), max(to_date({time})), max({time})) as _span"))
+        .groupBy(*key)
+        .agg(
+            F.expr("min(_span.col1) as first_day"),
+            F.expr("max(_span.col2) as last_day"),
+            F.expr(f"max(struct(_span.col3 as _seen, {names})) as _latest"),
+        )
+        .selectExpr(*key, "first_day", "last_day", *[f"_latest.{a} as {a}" for a in attributes])
     )
 
 

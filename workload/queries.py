@@ -229,9 +229,8 @@ def valid_code(spark, sf_dir):
 
 
 def _filled(spark, sf_dir, backfill=False):
-    return cal.ref_fill(
-        cal.with_ref(st.bare_calendar(spark), st.reference_price(spark, sf_dir)), backfill=backfill
-    )
+    known = cal.with_facts(st.bare_calendar(spark), ref=st.reference_price(spark, sf_dir))
+    return cal.ref_fill(known, backfill=backfill)
 
 
 @query
@@ -258,12 +257,12 @@ def ref_diffs(spark, sf_dir):
 def holiday_flags(spark, sf_dir):
     # a calendar that starts on a holiday: no day before it
     days = cal.calendar_range(spark, "2024-01-01", "2024-01-31")
-    return cal.holiday_neighbours(cal.with_holiday(days, st.holidays(spark, sf_dir)))
+    return cal.holiday_neighbours(cal.with_facts(days, holidays=st.holidays(spark, sf_dir)))
 
 
 @query
 def flag_coalesce(spark, sf_dir):
-    return cal.with_breaks(st.bare_calendar(spark), st.breaks(spark, sf_dir))
+    return cal.with_facts(st.bare_calendar(spark), breaks=st.breaks(spark, sf_dir))
 
 
 # --- panel ---------------------------------------------------------------------------------------------------------

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tideline.operators.calendar import calendar_range, daily_calendar
 from tideline.operators.readings import entity_span, last_per_day, plausible, with_area
@@ -62,34 +61,29 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reference_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Highest purchase of each weekday: a quote with weekend gaps."""
-    day = F.to_date("ts")
-    return (
-        table(spark, sf_dir, "events")
-        .where((F.col("event_type") == "purchase") & (F.weekday(day) < 5))
-        .groupBy(day.alias("day"))
-        .agg(F.max("value").alias("ref"))
+    """Purchases of weekdays as quotes: several a day (the highest counts), none at weekends."""
+    return table(spark, sf_dir, "events").where("event_type = 'purchase' and weekday(ts) < 5").selectExpr(
+        "to_date(ts) as day", "value as ref"
     )
 
 
-def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
-
-
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 1st and 15th on which something happened."""
-    return event_days(spark, sf_dir).where(F.dayofmonth("day").isin(1, 15))
+    """Every 1st and 15th on which something happened, listed once per event."""
+    return table(spark, sf_dir, "events").where("dayofmonth(ts) in (1, 15)").selectExpr("to_date(ts) as day")
 
 
 def breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0/1 flags of the observed days; zone c is unknown."""
-    nth = F.dayofmonth("day")
-    return event_days(spark, sf_dir).select(
-        "day",
-        nth.between(10, 20).cast("int").alias("break_zone_a"),
-        nth.between(5, 12).cast("int").alias("break_zone_b"),
-        F.lit(None).cast("int").alias("break_zone_c"),
-    )
+    days = table(spark, sf_dir, "events").selectExpr("to_date(ts) as day").distinct()
+    return days.selectExpr("day", *_break_flags())
+
+
+def _break_flags() -> list[str]:
+    return [
+        "int(dayofmonth(day) between 10 and 20) as break_zone_a",
+        "int(dayofmonth(day) between 5 and 12) as break_zone_b",
+        "cast(null as int) as break_zone_c",
+    ]
 
 
 def bare_calendar(spark: SparkSession) -> DataFrame:
@@ -119,17 +113,10 @@ def long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def long_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Highest order total of each weekday as the reference price; 1st of January and 14th of July off."""
-    orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), "o_totalprice")
-    days = orders.select("day").distinct()
-    nth = F.dayofmonth("day")
+    orders = table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) as day", "o_totalprice as ref")
     return daily_calendar(
         spark, LONG_START, LONG_END,
-        ref=orders.where(F.weekday("day") < 5).groupBy("day").agg(F.max("o_totalprice").alias("ref")),
-        holidays=days.where(F.date_format("day", "MM-dd").isin("01-01", "07-14")),
-        breaks=days.select(
-            "day",
-            nth.between(10, 20).cast("int").alias("break_zone_a"),
-            nth.between(5, 12).cast("int").alias("break_zone_b"),
-            F.lit(None).cast("int").alias("break_zone_c"),
-        ),
+        ref=orders.where("weekday(day) < 5"),
+        holidays=orders.where("date_format(day, 'MM-dd') in ('01-01', '07-14')"),
+        breaks=orders.select("day").distinct().selectExpr("day", *_break_flags()),
     )
