@@ -57,7 +57,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def settle(table: DataFrame, label: str) -> DataFrame:
     """Compute a table once for several uses: write it to the shared folder and read it back.
 
-    The copy outlives lost executors, cuts the lineage, and each use reads only the columns it needs.
+    The copy outlives lost executors, cuts the lineage, and each use reads only the columns it needs. It stays until the
+    shared folder is cleaned: results that were not computed yet may still read it.
     """
     path = fresh_path(table.sparkSession, label)
     table.write.option("compression", "zstd").parquet(path)
