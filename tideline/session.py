@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,22 @@ def build_session(master: str | None = None, app: str = "tideline", **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application; not needed where it is installed there."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    context = spark.sparkContext
+    if any(f.endswith("/tideline-package.zip") for f in context.listFiles):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="tideline-"), "tideline-package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
