@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, packing, sharding, simhash, token_files
+from tideline.llm import exact_dedup, html_text, maxscore, packing, quality, sharding, simhash, token_files
 from tideline.session import fresh_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SHARDS = 40
+NEIGHBOURS = 5
+GRADES = 3
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -35,6 +37,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
@@ -42,6 +49,23 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query
+def op5_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0, k=NEIGHBOURS)
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.OrdinalModel:
+    """Fitted on the labels: the grade is the number of criteria passed (good quality, not toxic)."""
+    grades = quality.criteria_grades(table(spark, sf_dir, "labels"))
+    return quality.fit_on(quality.labelled_sample(docs, grades), GRADES)
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality_model(spark, docs, sf_dir))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
