@@ -29,7 +29,7 @@ def test_held_out_accuracy(spark, model):
     good = [r for r in held if r.grade == 2]
     bad = [r for r in held if r.grade < 2]
     assert sum(r.kept for r in good) / len(good) >= 0.98
-    assert sum(not r.kept for r in bad) / len(bad) >= 0.75
+    assert sum(not r.kept for r in bad) / len(bad) >= 0.65
     assert np.mean([r.expected_grade for r in good]) > np.mean([r.expected_grade for r in bad]) + 0.3
 
 

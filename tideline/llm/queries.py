@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, html_text, maxscore, packing, quality, sharding, simhash, token_files
+from tideline.llm import exact_dedup, html_text, line_dedup, maxscore, nbest, packing, quality, sharding, simhash, token_files
 from tideline.session import fresh_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SHARDS = 40
 NEIGHBOURS = 5
 GRADES = 3
+SEGMENTATIONS = 3
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -37,6 +38,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed")
+
+
 @query
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -66,6 +72,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(docs, quality_model(spark, docs, sf_dir))
 
 
+@query
+def op7_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    best = nbest.best_segmentations(table(spark, sf_dir, "documents"), model=model, n=SEGMENTATIONS, with_ids=False)
+    return best.select("doc_id", "rank", "score", "n_ids", "ids_crc32", "round_trip")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
