@@ -92,7 +92,7 @@ class OrdinalModel:
 def _score(text: str, weights: list[float], held: dict[str, float]) -> float:
     units = text.split()
     distinct = dict.fromkeys(units)
-    new = distinct.keys() - held.keys()
+    new = [u for u in distinct if u not in held]  # never runs over all that is held
     if new:
         if len(held) + len(new) > UNITS_HELD:
             held.clear()
