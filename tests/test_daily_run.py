@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import time
 
-
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import plain_calendar, reading, readings
+from helpers import d, empty_days, plain_calendar, reading, readings
+from tideline.operators.calendar import daily_calendar
 from tideline.operators.state import feed_to_state
 from tideline.plans.forecast import run_day
 from tideline.schema import STATE_SCHEMA
@@ -66,3 +67,50 @@ def test_stream_gives_the_same(spark, tmp_path):
     assert query.exception() is None and not query.isActive
     assert snapshot(spark, root) == EXPECTED
     assert read_state(spark, root, before="c").count() == 4
+
+
+def test_implausible_readings_are_never_published(spark, tmp_path):
+    root = str(tmp_path)
+    write_state(spark.createDataFrame([], STATE_SCHEMA), root, "2024-02-29")
+    feed = [
+        reading("s", "2024-02-29 06:00:00", 1.5), reading("s", "2024-03-01 06:00:00", 99.0), reading("s", None, 1.7),
+        reading("s", "2099-01-01 06:00:00", 1.8), reading("t", None, 1.9),
+    ]
+    state = read_state(spark, root, before="2024-03-01")
+    run_day(state, readings(spark, feed), calendar(spark, "2024-03-01"), scorer, root=root, as_of="2024-03-01")
+    assert snapshot(spark, root) == {"s": ("2024-03-01", 1.5, 1.503)}
+    left = read_state(spark, root, before="2024-03-02").collect()
+    assert [(r.entity, str(r.day)) for r in left] == [("s", "2024-02-29")]
+
+
+def test_late_file_and_missing_state(spark, tmp_path):
+    root = str(tmp_path)
+    write_state(spark.createDataFrame([], STATE_SCHEMA), root, "a")
+    with pytest.raises(ValueError, match="no state version"):
+        read_state(spark, root, before="a")
+    for version, day in (("b1", "2024-03-02"), ("b2", "2024-03-01")):
+        state = read_state(spark, root, before=version)
+        run_day(state, readings(spark, FEEDS[day]), calendar(spark, day), scorer, root=root, as_of=day, version=version)
+        assert {r[0] for r in snapshot(spark, root).values()} == {"2024-03-02"}
+
+
+def test_stream_does_not_believe_the_future(spark, tmp_path):
+    root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
+    start_state(spark, root, spark.createDataFrame([], STATE_SCHEMA))
+    rows = [*FEEDS["2024-03-01"], reading("s", "2099-01-01 06:00:00", 1.8), reading("s", "2024-03-05 06:00:00", 99.0)]
+    readings(spark, rows).coalesce(1).write.parquet(landing)
+    stream_feed(spark, landing, root, calendar=lambda day: calendar(spark, day), scorer=scorer).awaitTermination(300)
+    assert {r[0] for r in snapshot(spark, root).values()} == {"2024-03-01"}
+
+
+def test_old_quote_is_carried_whatever_the_warm_up(spark):
+    quotes = [("2023-01-05", 70.0), ("2023-02-01", 80.0)]
+    found = {
+        n: daily_calendar(
+            spark, "2024-03-01", "2024-03-02", warmup_days=n,
+            ref=spark.createDataFrame([(d(x), v) for x, v in quotes], "day date, ref double"),
+            holidays=empty_days(spark), breaks=empty_days(spark, ", break_zone_a int, break_zone_b int, break_zone_c int"),
+        ).select("day", "ref_lag0", "ref_lag7").collect()
+        for n in (10, 366, 500)
+    }
+    assert found[10] == found[366] == found[500] and found[10][0].ref_lag0 == 80.0

@@ -129,9 +129,16 @@ def daily_calendar(
     """All calendar columns for the days ``start .. end`` (inclusive).
 
     Fill, lags and neighbours are computed on a range that begins ``warmup_days`` earlier and ends a day later, so the
-    kept days have their full past and their tomorrow.
+    kept days have their full past and their tomorrow. The last quote on or before the first of these days is carried
+    into it, however old it is.
     """
     first = _as_date(start) - timedelta(days=warmup_days)
+    day = F.col("day").cast("date")
+    known = ref.where(F.col("ref").isNotNull() & (day <= F.lit(first)))
+    carried = known.agg(F.max(F.struct(day.alias("day"), "ref")).alias("last")).select(
+        F.lit(first).alias("day"), F.col("last.ref").alias("ref")
+    )
+    ref = ref.where(day > F.lit(first)).select(day.alias("day"), "ref").unionByName(carried)
     days = calendar_range(spark, first, _as_date(end) + timedelta(days=2))
     table = with_facts(days, ref=ref, holidays=holidays, breaks=breaks)
     table = holiday_neighbours(ref_diffs(ref_lags(ref_fill(table, backfill=backfill), delay=ref_delay)))

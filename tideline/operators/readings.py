@@ -11,7 +11,10 @@ from tideline.functions.scalars import area_code
 from tideline.schema import ATTRIBUTES, KEY
 
 
-def plausible(readings: DataFrame, low: float = 0.5, high: float = 3.5, value: str = "price") -> DataFrame:
+LOW, HIGH = 0.5, 3.5  # bounds of a plausible price, the same in training and scoring
+
+
+def plausible(readings: DataFrame, low: float = LOW, high: float = HIGH, value: str = "price") -> DataFrame:
     """Readings with a time and a value strictly between ``low`` and ``high`` (drops NULLs too)."""
     return readings.where(
         F.col("observed_at").isNotNull() & (F.col(value) > F.lit(low)) & (F.col(value) < F.lit(high))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.decisions import dead_band, predicted_price, published_delta, trend_label
-from tideline.operators.readings import with_area
+from tideline.operators.readings import HIGH, LOW, plausible, with_area
 from tideline.operators.state import feed_to_state, roll_state, union_state
 from tideline.plans.panel import count_peer_groups, feature_panel
 from tideline.schema import PREDICTION_COLUMNS
@@ -40,8 +40,20 @@ def decide(scored: DataFrame, *, anchor: str = "price") -> DataFrame:
     )
 
 
-def merged_state(state: DataFrame, feed: DataFrame, *, tie_break: Sequence[str] = ()) -> DataFrame:
-    return union_state(state, feed_to_state(feed, tie_break=tie_break))
+def merged_state(
+    state: DataFrame,
+    feed: DataFrame,
+    *,
+    low: float = LOW,
+    high: float = HIGH,
+    not_after: date | str | None = None,
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
+    """State and the feed's plausible readings: a time, a price strictly between the bounds, no day after ``not_after``."""
+    kept = plausible(feed, low, high)
+    if not_after is not None:
+        kept = kept.where(F.to_date("observed_at") <= F.lit(str(not_after)).cast("date"))
+    return union_state(state, feed_to_state(kept, tie_break=tie_break))
 
 
 def daily_forecast(
@@ -77,13 +89,20 @@ def run_day(
     version: str | None = None,
     tie_break: Sequence[str] = (),
     scale: int = 1000,
+    low: float = LOW,
+    high: float = HIGH,
 ) -> None:
     """One daily run: merge, forecast, publish, roll.
 
+    Readings without a time, outside the price bounds or after ``as_of`` take no part. A run for a day before that of
+    the snapshot adds to the archive only.
+
     The merged state feeds several steps and is written once. The new state is written last and under its own version:
     a run that broke off can be repeated as a whole and leaves the same files.
     """
-    merged = settle(merged_state(state, feed, tie_break=tie_break), "merged")
+    merged = settle(
+        merged_state(state, feed, low=low, high=high, not_after=as_of, tie_break=tie_break), "merged"
+    )
     groups = count_peer_groups(with_area(merged))
     forecast = daily_forecast(merged, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups)
     publish_snapshot(forecast, root, as_of)

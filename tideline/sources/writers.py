@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,8 @@ def publish_snapshot(predictions: DataFrame, root: str, as_of: date | str) -> No
     """Add the day's predictions to the archive, then make them the snapshot.
 
     ``archive/day=YYYY-MM-DD`` is replaced as a whole partition, so a repeated run leaves the same files. The snapshot is
-    copied from the archived files: the plan runs once, and both always hold the same rows.
+    copied from the archived files: the plan runs once, and both hold the same rows. A day before the snapshot's goes to
+    the archive alone: the snapshot never turns back.
     """
     spark = predictions.sparkSession
     (
@@ -33,11 +36,25 @@ def publish_snapshot(predictions: DataFrame, root: str, as_of: date | str) -> No
         .partitionBy("day")
         .parquet(f"{root}/archive")
     )
+    shown = snapshot_day(spark, root)
+    if shown is not None and shown > date.fromisoformat(str(as_of)):
+        return
     archived = spark.read.schema(predictions.schema).parquet(f"{root}/archive")
     today = archived.where(F.col("day") == F.lit(str(as_of)).cast("date")).select(*predictions.columns)
     write_table(today, f"{root}/latest", mode="overwrite")
 
 
+def snapshot_day(spark: SparkSession, root: str) -> date | None:
+    """The day of the current snapshot; None if there is none yet or it is empty."""
+    try:
+        shown = spark.read.schema("day date").parquet(f"{root}/latest")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return shown.agg(F.max("day").alias("day")).first().day
+
+
 def write_state(state: DataFrame, root: str, version: str) -> None:
     """Write the state as a version of its own; a repeated run replaces only that version."""
     write_table(state.select(*STATE_COLUMNS), f"{root}/state/version={version}", mode="overwrite")
@@ -45,6 +62,9 @@ def write_state(state: DataFrame, root: str, version: str) -> None:
 
 def read_state(spark: SparkSession, root: str, *, before: str) -> DataFrame:
     """The newest version that sorts before ``before``: a repeated run starts from the same state as the first."""
-    versions = spark.read.schema(VERSIONED_STATE).parquet(f"{root}/state").where(F.col("version") < F.lit(before))
-    newest = versions.agg(F.max("version").alias("version")).first().version
-    return versions.where(F.col("version") == F.lit(newest)).drop("version")
+    stored = spark.read.schema(VERSIONED_STATE).parquet(f"{root}/state")
+    versions = {m[1] for m in (re.search(r"/version=([^/]+)/", f) for f in stored.inputFiles()) if m}  # empty ones too
+    earlier = [v for v in versions if v < before]
+    if not earlier:
+        raise ValueError(f"no state version before {before} in {root}")
+    return stored.where(F.col("version") == F.lit(max(earlier))).drop("version")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.operators.readings import HIGH, LOW, plausible
 from tideline.plans.forecast import Scorer, run_day
 from tideline.schema import READING_SCHEMA
 from tideline.sources.writers import read_state, write_state
@@ -38,19 +39,27 @@ def stream_feed(
     scorer: Scorer,
     files_per_run: int = 1,
     scale: int = 1000,
+    low: float = LOW,
+    high: float = HIGH,
+    not_after: date | None = None,
 ) -> StreamingQuery:
     """Process every feed file in ``landing`` that was not processed yet, oldest first, then stop.
 
-    ``calendar`` gives the calendar of a day. The day of a run is the latest one in its feed.
+    ``calendar`` gives the calendar of a day. The day of a run is the latest one among its feed's plausible readings; days
+    after ``not_after`` (today, unless given) are not believed. A late file changes the state, not the snapshot.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        as_of = batch.agg(F.to_date(F.max("observed_at")).alias("day")).first().day
+        day = F.to_date("observed_at")
+        limit = F.lit(not_after) if not_after else F.current_date()
+        as_of = plausible(batch, low, high).where(day <= limit).agg(F.max(day).alias("day")).first().day
         if as_of is None:
             return
         version = version_of(batch_id)
         state = read_state(spark, root, before=version)
-        run_day(state, batch, calendar(as_of), scorer, root=root, as_of=as_of, version=version, scale=scale)
+        run_day(
+            state, batch, calendar(as_of), scorer, root=root, as_of=as_of, version=version, scale=scale, low=low, high=high
+        )
 
     return (
         spark.readStream.schema(READING_SCHEMA)

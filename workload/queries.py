@@ -77,7 +77,9 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.merged_state(old_state(spark, sf_dir), feed(spark, sf_dir), tie_break=st.TIE)
+    return forecast.merged_state(
+        old_state(spark, sf_dir), feed(spark, sf_dir), low=st.LOW, high=st.HIGH, not_after=AS_OF, tie_break=st.TIE
+    )
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
