@@ -111,3 +111,11 @@ def test_null_labels_give_no_grade(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (3, 0, None), (4, 0, 1)], "doc_id long, quality int, toxic int")
     assert [r.grade for r in q.criteria_grades(labels).orderBy("doc_id").collect()] == [2, None, None, 0]
     assert q.criteria_grades(labels).where(F.col("grade").isNull()).count() == 2
+
+
+def test_fit_is_stable_on_separable_rows():
+    """Perfectly separable rows push weights up without end; scores stay finite and ordered."""
+    rows = [(g, np.array([g, 5]), np.array([3.0, 1.0])) for g in (0, 1, 2)] * 400
+    model = q.fit(rows, 3, epochs=60)
+    scores = [3 * model.weights[g] + model.weights[5] for g in range(3)]
+    assert np.isfinite(model.weights).all() and scores[0] < model.thresholds[0] < scores[1] < model.thresholds[1] < scores[2]

@@ -126,8 +126,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
+def _ratio(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """sigmoid(x) / sigmoid(y) for x <= y, without overflow."""
+    return np.exp(np.minimum(-np.logaddexp(0, -x) + np.logaddexp(0, -y), 0.0))
+
+
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, *, epochs: int = EPOCHS, seed: int = 0) -> OrdinalModel:
-    """Weights and thresholds from (grade, slots, values), by adaptive gradient steps on the log likelihood."""
+    """Weights and thresholds from (grade, slots, values), by adaptive gradient steps on the log likelihood;
+    the epoch that lost least is returned."""
     dim = 1 << FEATURE_BITS
     weights, seen = np.zeros(dim), np.full(dim, 1e-6)
     share = np.array([(sum(g >= k for g, _, _ in rows) + 1) / (len(rows) + 2) for k in range(1, grades)])
@@ -136,8 +142,9 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, *, epochs:
     cuts = np.concatenate([first[:1], steps])
     cuts_seen = np.full(len(cuts), 1e-6)
     order = np.random.default_rng(seed)
+    best = (math.inf, weights.copy(), cuts.copy())
     for _ in range(epochs if rows else 0):
-        shuffled = order.permutation(len(rows))
+        shuffled, lost = order.permutation(len(rows)), 0.0
         for at in range(0, len(rows), BATCH):
             part = [rows[i] for i in shuffled[at : at + BATCH]]
             sizes = [len(s) for _, s, _ in part]
@@ -147,20 +154,25 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, *, epochs:
             grade = np.array([g for g, _, _ in part])
             limits = np.concatenate([[-np.inf], np.cumsum(np.concatenate([cuts[:1], np.exp(cuts[1:])])), [np.inf]])
             low, high = _sigmoid(score - limits[grade]), _sigmoid(score - limits[grade + 1])
-            chance = np.maximum(low - high, 1e-12)
-            d_low, d_high = low * (1 - low), high * (1 - high)
-            pull = (d_high - d_low) / chance  # of the loss, by score
+            lost -= float(np.log(np.maximum(low - high, 1e-300)).sum())
+            pull = low + high - 1  # the slope of the loss by score: exact and within one, however small the chance
+            room = 1 - np.exp(limits[grade] - limits[grade + 1])
+            at_low = _ratio(limits[grade] - score, limits[grade + 1] - score) / room
+            at_high = _ratio(score - limits[grade + 1], score - limits[grade]) / room
             slope = np.bincount(slots, pull[owner] * values, dim) / len(part) + DECAY * weights
             seen += slope * slope
             weights -= RATE * slope / np.sqrt(seen)
             by_limit = np.zeros(grades + 1)
-            np.add.at(by_limit, grade, d_low / chance)
-            np.add.at(by_limit, grade + 1, -d_high / chance)
+            np.add.at(by_limit, grade, at_low)
+            np.add.at(by_limit, grade + 1, -at_high)
             inner = by_limit[1:grades] / len(part)
             later = np.cumsum(inner[::-1])[::-1]
             change = later * np.concatenate([[1.0], np.exp(cuts[1:])])
             cuts_seen += change * change
             cuts -= RATE * change / np.sqrt(cuts_seen)
+        if lost < best[0]:
+            best = (lost, weights.copy(), cuts.copy())
+    _, weights, cuts = best
     limits = np.cumsum(np.concatenate([cuts[:1], np.exp(cuts[1:])]))
     return OrdinalModel(weights.astype(np.float32), tuple(float(x) for x in limits))
 
@@ -184,7 +196,7 @@ def fit_on(sample: DataFrame, grades: int) -> OrdinalModel:
     """Fit on the rows of ``labelled_sample``; without rows every document gets the same score."""
     made = sample.select("grade", "_text").mapInArrow(_feature_batches, "grade int, slots binary, numbers binary")
     rows = sorted((r.grade, bytes(r.slots), bytes(r.numbers)) for r in made.collect())  # bounded by the sample
-    return fit([(g, np.frombuffer(s, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64)) for g, s, v in rows], grades)
+    return fit([(g, np.frombuffer(s, "<i4"), np.frombuffer(v, "<f4")) for g, s, v in rows], grades)
 
 
 def criteria_grades(labels: DataFrame) -> DataFrame:
