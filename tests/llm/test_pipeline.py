@@ -57,5 +57,6 @@ def test_stages_take_awkward_documents(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         found = stage(spark, docs, SF)
         assert name == "packing" or found.columns == docs.columns
-        assert found.count() <= docs.count() + 40
+        ids = docs.select("doc_id").distinct().count()
+        assert 0 < found.select("doc_id").distinct().count() <= ids  # packing gives several pieces of a long document
         assert stage(spark, docs.where("false"), SF).count() == 0
