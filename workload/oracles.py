@@ -1,4 +1,4 @@
-"""The same results as plain SQL, written as a grid, joins and windows over the same tables."""
+"""The same results as plain SQL, written from the definitions: what was known as of a day, sums per group, lookups by day."""
 
 from __future__ import annotations
 
@@ -41,18 +41,18 @@ def days(name: str, first: str, stop: str) -> str:
     return f"{name} AS (SELECT CAST(range AS DATE) AS day FROM range(DATE '{first}', DATE '{stop}', INTERVAL 1 DAY))"
 
 
-def dense(first: str = "2024-01-01", stop: str = "2024-01-31", last: str = "e.last_day") -> str:
-    """Every key on every day of its span, filled forward, with the previous price."""
-    return f"""{days('grid_days', first, stop)},
-grid AS (SELECT e.entity, e.product, e.area, c.day FROM entities e, grid_days c WHERE c.day BETWEEN e.first_day AND {last}),
-filled AS (
-  SELECT g.*, last_value(d.price IGNORE NULLS) OVER (PARTITION BY g.entity, g.product ORDER BY g.day
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price
-  FROM grid g LEFT JOIN daily d ON g.entity = d.entity AND g.product = d.product AND g.day = d.day),
-dense AS (
-  SELECT *, lag(price) OVER (PARTITION BY entity, product ORDER BY day) AS prev_price,
-    CAST(CASE WHEN price != lag(price) OVER (PARTITION BY entity, product ORDER BY day) THEN 1 ELSE 0 END AS INTEGER) AS changed
-  FROM filled)"""
+def each_day(
+    first: str = "2024-01-01", stop: str = "2024-01-31", *, source: str = "daily", spans: str = "entities", last: str = "last_day"
+) -> str:
+    """Every key on every day of its span: the price known on that day and the one known the day before."""
+    return f"""key_days AS (
+  SELECT entity, product, area, first_day, CAST(unnest(range(greatest(first_day, DATE '{first}'),
+    least({last} + 1, DATE '{stop}'), INTERVAL 1 DAY)) AS DATE) AS day FROM {spans}),
+each_day AS (
+  SELECT k.*, d.price, p.price AS prev_price, CAST(coalesce(d.price <> p.price, FALSE) AS INTEGER) AS changed
+  FROM key_days k
+  ASOF JOIN {source} d ON k.entity = d.entity AND k.product = d.product AND k.day >= d.day
+  ASOF LEFT JOIN {source} p ON k.entity = p.entity AND k.product = p.product AND k.day > p.day)"""
 
 
 EVENT_REF = """ref AS (SELECT CAST(ts AS DATE) AS day, max(value) AS ref FROM events
@@ -71,43 +71,41 @@ def calendar(first: str, stop: str, sources: str = EVENT_REF) -> str:
     """All calendar columns; ``first .. stop`` includes the margins."""
     return f"""{sources},
 {days('cal_days', first, stop)},
-ref_filled AS (
-  SELECT c.day, last_value(r.ref IGNORE NULLS) OVER (ORDER BY c.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ref_lag0
-  FROM cal_days c LEFT JOIN ref r ON c.day = r.day),
-ref_lagged AS (
-  SELECT *, lag(ref_lag0, 1) OVER (ORDER BY day) AS ref_lag1, lag(ref_lag0, 3) OVER (ORDER BY day) AS ref_lag3,
-    lag(ref_lag0, 7) OVER (ORDER BY day) AS ref_lag7 FROM ref_filled),
-flagged AS (
-  SELECT c.day, h.day IS NOT NULL AS is_holiday FROM cal_days c LEFT JOIN holidays h ON c.day = h.day),
-neighbours AS (
-  SELECT *, lead(is_holiday) OVER (ORDER BY day) AS before_holiday, lag(is_holiday) OVER (ORDER BY day) AS after_holiday
-  FROM flagged),
+quoted AS (SELECT c.day, r.ref AS ref_lag0 FROM cal_days c ASOF LEFT JOIN ref r ON c.day >= r.day),
+quote_past AS (
+  SELECT q.day, q.ref_lag0, a.ref_lag0 AS ref_lag1, b.ref_lag0 AS ref_lag3, c.ref_lag0 AS ref_lag7 FROM quoted q
+  LEFT JOIN quoted a ON a.day = q.day - 1 LEFT JOIN quoted b ON b.day = q.day - 3 LEFT JOIN quoted c ON c.day = q.day - 7),
+free_days AS (
+  SELECT day, day IN (SELECT day FROM holidays) AS is_holiday,
+    CASE WHEN day < DATE '{stop}' - 1 THEN day + 1 IN (SELECT day FROM holidays) END AS before_holiday,
+    CASE WHEN day > DATE '{first}' THEN day - 1 IN (SELECT day FROM holidays) END AS after_holiday
+  FROM cal_days),
 school AS (
-  SELECT c.day, coalesce(day(o.day) BETWEEN 10 AND 20, FALSE) AS break_zone_a,
-    coalesce(day(o.day) BETWEEN 5 AND 12, FALSE) AS break_zone_b, FALSE AS break_zone_c
-  FROM cal_days c LEFT JOIN observed o ON c.day = o.day),
+  SELECT day, day(day) BETWEEN 10 AND 20 AND day IN (SELECT day FROM observed) AS break_zone_a,
+    day(day) BETWEEN 5 AND 12 AND day IN (SELECT day FROM observed) AS break_zone_b, FALSE AS break_zone_c
+  FROM cal_days),
 calendar AS (
-  SELECT day, ref_lag0, ref_lag1, ref_lag3, ref_lag7, CAST(ref_lag0 - ref_lag1 AS FLOAT) AS ref_diff_1d,
-    CAST(ref_lag0 - ref_lag7 AS FLOAT) AS ref_diff_7d, is_holiday, before_holiday, after_holiday,
-    break_zone_a, break_zone_b, break_zone_c
-  FROM ref_lagged JOIN neighbours USING (day) JOIN school USING (day))"""
+  SELECT q.*, CAST(ref_lag0 - ref_lag1 AS FLOAT) AS ref_diff_1d, CAST(ref_lag0 - ref_lag7 AS FLOAT) AS ref_diff_7d,
+    f.* EXCLUDE (day), s.* EXCLUDE (day)
+  FROM quote_past q, free_days f, school s WHERE f.day = q.day AND s.day = q.day)"""
 
 
 # A gap is the value minus a mean that is taken from a sum of whole cents.
-FEATURES = """runs AS (
-  SELECT *, sum(changed) OVER (PARTITION BY entity, product ORDER BY day
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id
-  FROM dense WHERE prev_price IS NOT NULL),
+# Unchanged days count from the last change, or from the second day if there was none.
+FEATURES = """known AS (
+  SELECT *, CAST(round(prev_price * 100) AS BIGINT) AS cents FROM each_day WHERE prev_price IS NOT NULL),
+peer_totals AS (SELECT day, area, product, sum(cents) AS cents, count(*) AS n FROM known GROUP BY ALL),
+week_totals AS (
+  SELECT entity, product, day + CAST(range AS INTEGER) AS day, sum(cents) AS cents, count(*) AS n FROM known, range(7) GROUP BY ALL),
+change_days AS (SELECT entity, product, day FROM each_day WHERE changed = 1),
 features AS (
-  SELECT *,
-    CAST(row_number() OVER (PARTITION BY entity, product, run_id ORDER BY day) - 1 AS SMALLINT) AS days_unchanged,
-    CAST(prev_price - CAST(sum(CAST(round(prev_price * 100) AS BIGINT)) OVER peers AS DOUBLE)
-      / (count(prev_price) OVER peers * CAST(100 AS DOUBLE)) AS FLOAT) AS peer_gap,
-    CAST(prev_price - CAST(sum(CAST(round(prev_price * 100) AS BIGINT)) OVER week AS DOUBLE)
-      / (count(prev_price) OVER week * CAST(100 AS DOUBLE)) AS FLOAT) AS rolling_gap
-  FROM runs
-  WINDOW peers AS (PARTITION BY day, area, product),
-    week AS (PARTITION BY entity, product ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
+  SELECT k.* EXCLUDE (first_day, cents), CAST(k.day - coalesce(c.day, k.first_day + 1) AS SMALLINT) AS days_unchanged,
+    CAST(prev_price - CAST(p.cents AS DOUBLE) / (p.n * CAST(100 AS DOUBLE)) AS FLOAT) AS peer_gap,
+    CAST(prev_price - CAST(w.cents AS DOUBLE) / (w.n * CAST(100 AS DOUBLE)) AS FLOAT) AS rolling_gap
+  FROM known k
+  ASOF LEFT JOIN change_days c ON k.entity = c.entity AND k.product = c.product AND k.day >= c.day
+  JOIN peer_totals p ON k.day = p.day AND k.area IS NOT DISTINCT FROM p.area AND k.product = p.product
+  JOIN week_totals w ON k.entity = w.entity AND k.product = w.product AND k.day = w.day)"""
 
 PANEL = """panel AS (
   SELECT f.entity, f.product, f.day, f.price, f.prev_price, e.latitude, e.longitude, e.postal_code, e.road_type, e.city,
@@ -119,10 +117,10 @@ PANEL = """panel AS (
 
 EVENT_CALENDAR = calendar("2023-12-20", "2024-02-01")
 BASE = f"{READINGS},\n{daily()}"
-DENSE = f"{BASE},\n{dense()}"
-EVENT_PANEL = f"{DENSE},\n{EVENT_CALENDAR},\n{FEATURES},\n{PANEL}"
+EACH_DAY = f"{BASE},\n{each_day()}"
+EVENT_PANEL = f"{EACH_DAY},\n{EVENT_CALENDAR},\n{FEATURES},\n{PANEL}"
 
-SCORED = f"""{DENSE},
+SCORED = f"""{EACH_DAY},
 {FEATURES},
 raw AS (SELECT *, round_even(CAST(rolling_gap AS DOUBLE) * CAST(-0.0005 AS DOUBLE) * 10000, 0) / CAST(10000 AS DOUBLE) AS raw_delta
   FROM features),
@@ -151,24 +149,12 @@ merged AS (SELECT * FROM feed UNION ALL SELECT * FROM old_state o
   WHERE NOT EXISTS (SELECT 1 FROM feed f WHERE f.entity = o.entity AND f.product = o.product AND f.day = o.day))"""
 
 def _forecast_sql() -> str:
-    grid = """known_entities AS (
-  SELECT s.*, l.latitude, l.longitude, l.postal_code, l.road_type, l.city, l.address,
-    substring(lpad(l.postal_code, 5, '0'), 1, 2) AS area
-  FROM (SELECT entity, product, min(day) AS first_day FROM merged GROUP BY ALL) s
-  JOIN (SELECT * FROM merged QUALIFY row_number() OVER (PARTITION BY entity, product ORDER BY day DESC) = 1) l
-    USING (entity, product)),
-f_days AS (SELECT CAST(range AS DATE) AS day FROM range(DATE '2023-12-31', DATE '2024-01-26', INTERVAL 1 DAY)),
-f_filled AS (
-  SELECT e.entity, e.product, e.area, c.day, last_value(m.price IGNORE NULLS) OVER (PARTITION BY e.entity, e.product
-    ORDER BY c.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price
-  FROM known_entities e JOIN f_days c ON c.day >= e.first_day
-  LEFT JOIN merged m ON m.entity = e.entity AND m.product = e.product AND m.day = c.day),
-dense AS (
-  SELECT *, lag(price) OVER (PARTITION BY entity, product ORDER BY day) AS prev_price,
-    CAST(CASE WHEN price != lag(price) OVER (PARTITION BY entity, product ORDER BY day) THEN 1 ELSE 0 END AS INTEGER) AS changed
-  FROM f_filled)"""
+    spans = """known_entities AS (
+  SELECT entity, product, min(day) AS first_day, substring(lpad(arg_max(postal_code, day), 5, '0'), 1, 2) AS area,
+    unnest(arg_max(struct_pack(latitude, longitude, postal_code, road_type, city, address), day)) FROM merged GROUP BY entity, product)"""
     return f"""WITH {MERGED},
-{grid},
+{spans},
+{each_day("2023-12-31", "2024-01-26", source="merged", spans="known_entities", last="DATE '2024-01-25'")},
 {FEATURES},
 raw AS (SELECT *, round_even(CAST(rolling_gap AS DOUBLE) * CAST(-0.0005 AS DOUBLE) * 10000, 0) / CAST(10000 AS DOUBLE) AS raw_delta
   FROM features WHERE day = DATE '2024-01-25'),
@@ -197,6 +183,7 @@ def distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"(CAST(12742000 AS DOUBLE) * asin(sqrt(least({chord}, CAST(1 AS DOUBLE)))))"
 
 
+# Fixed value: the address of the map search.
 LINK = "'https://www.google.com/maps/search/?api=1&query=' || url_encode(concat_ws(' ', address, {middle}city))"
 
 
@@ -249,10 +236,10 @@ SELECT * EXCLUDE (next_day) FROM m WHERE day >= DATE '2024-01-11' OR next_day IS
   value AS price FROM events WHERE value > 0.5 AND value < 350""",
     "split_by_date": f"""WITH {BASE} SELECT *, CASE WHEN day <= DATE '2024-01-20' THEN 'train' ELSE 'valid' END AS part
 FROM daily WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' OR day >= DATE '2024-01-22'""",
-    "null_audit": f"""WITH {DENSE},
+    "null_audit": f"""WITH {EACH_DAY},
 {EVENT_REF},
 a AS (SELECT d.price, d.prev_price, day(o.day) BETWEEN 10 AND 20 AS break_zone_a, NULL AS break_zone_c
-  FROM dense d JOIN observed o ON d.day = o.day)
+  FROM each_day d JOIN observed o ON d.day = o.day)
 SELECT count(*) AS n_rows,
   count(*) FILTER (price IS NULL OR prev_price IS NULL OR break_zone_a IS NULL OR break_zone_c IS NULL) AS n_any_null,
   count(*) FILTER (price IS NULL) AS null_price, count(*) FILTER (prev_price IS NULL) AS null_prev_price,
@@ -264,34 +251,36 @@ ORDER BY commune, latitude, longitude LIMIT 1""",
     "valid_code": """SELECT c_custkey, code, regexp_full_match(code, '[0-9]{5}') AS is_valid FROM (
   SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN c_custkey || 'x' ELSE CAST(c_custkey * 137 AS VARCHAR) END AS code
   FROM customer)""",
-    "ref_ffill": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT day, ref_lag0 FROM ref_filled",
+    "ref_ffill": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT day, ref_lag0 FROM quoted",
     "ref_backfill": f"""WITH {calendar('2023-12-20', '2024-02-06')}
-SELECT day, coalesce(ref_lag0, (SELECT ref FROM ref ORDER BY day LIMIT 1)) AS ref_lag0 FROM ref_filled""",
-    "ref_lags": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT * FROM ref_lagged",
+SELECT day, coalesce(ref_lag0, (SELECT ref FROM ref ORDER BY day LIMIT 1)) AS ref_lag0 FROM quoted""",
+    "ref_lags": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT * FROM quote_past",
     "ref_diffs": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT day, ref_diff_1d, ref_diff_7d FROM calendar",
-    "holiday_flags": f"WITH {calendar('2024-01-01', '2024-01-31')} SELECT * FROM neighbours",
+    "holiday_flags": f"WITH {calendar('2024-01-01', '2024-01-31')} SELECT * FROM free_days",
     "flag_coalesce": f"WITH {calendar('2023-12-20', '2024-02-06')} SELECT * FROM school",
     "dedup_last_per_day": f"WITH {BASE} SELECT * FROM daily",
     "entity_span": f"WITH {BASE} SELECT * EXCLUDE (area) FROM entities",
-    "panel_grid": f"WITH {DENSE} SELECT entity, product, day FROM grid",
-    "panel_fill": f"WITH {DENSE} SELECT entity, product, day, price FROM filled",
+    "panel_grid": f"WITH {EACH_DAY} SELECT entity, product, day FROM key_days",
+    "panel_fill": f"WITH {EACH_DAY} SELECT entity, product, day, price FROM each_day",
     "asof_daily": f"""WITH {BASE},
 {days('w', '2024-01-10', '2024-02-03')}
 SELECT d.entity, d.product, w.day, arg_max(d.price, d.day) AS price FROM w JOIN daily d ON d.day <= w.day GROUP BY ALL""",
-    "panel_enriched": f"""WITH {DENSE},
+    "panel_enriched": f"""WITH {EACH_DAY},
 {EVENT_CALENDAR}
-SELECT f.entity, f.product, f.price, c.* REPLACE (f.day AS day) FROM filled f LEFT JOIN calendar c ON f.day = c.day""",
-    "prev_price": f"WITH {DENSE} SELECT entity, product, day, price, prev_price FROM dense",
-    "change_flag": f"WITH {DENSE} SELECT entity, product, day, price, prev_price, changed FROM dense",
-    "run_groups": f"""WITH {DENSE} SELECT entity, product, day, price, prev_price, changed, CAST(sum(changed) OVER (
-  PARTITION BY entity, product ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS run_id FROM dense""",
-    "days_unchanged": f"WITH {DENSE},\n{FEATURES} SELECT entity, product, day, price, prev_price, days_unchanged FROM features",
-    "rolling_gap": f"WITH {DENSE},\n{FEATURES} SELECT entity, product, day, price, prev_price, rolling_gap FROM features",
-    "peer_gap": f"WITH {DENSE},\n{FEATURES} SELECT entity, product, day, price, prev_price, area, peer_gap FROM features",
+SELECT f.entity, f.product, f.price, c.* REPLACE (f.day AS day) FROM each_day f LEFT JOIN calendar c ON f.day = c.day""",
+    "prev_price": f"WITH {EACH_DAY} SELECT entity, product, day, price, prev_price FROM each_day",
+    "change_flag": f"WITH {EACH_DAY} SELECT entity, product, day, price, prev_price, changed FROM each_day",
+    "run_groups": f"""WITH {EACH_DAY}
+SELECT e.entity, e.product, e.day, e.price, e.prev_price, e.changed, count(c.day) AS run_id
+FROM each_day e LEFT JOIN each_day c ON c.entity = e.entity AND c.product = e.product AND c.changed = 1 AND c.day <= e.day
+GROUP BY ALL""",
+    "days_unchanged": f"WITH {EACH_DAY},\n{FEATURES} SELECT entity, product, day, price, prev_price, days_unchanged FROM features",
+    "rolling_gap": f"WITH {EACH_DAY},\n{FEATURES} SELECT entity, product, day, price, prev_price, rolling_gap FROM features",
+    "peer_gap": f"WITH {EACH_DAY},\n{FEATURES} SELECT entity, product, day, price, prev_price, area, peer_gap FROM features",
     "feature_panel": f"WITH {EVENT_PANEL} SELECT * FROM panel",
     "long_history": f"""WITH {LONG_READINGS},
 {daily(LONG_TIE)},
-{dense('1995-01-01', '2002-01-01')},
+{each_day('1995-01-01', '2002-01-01')},
 {calendar('1993-12-31', '2002-01-02', LONG_REF)},
 {FEATURES},
 {PANEL}
@@ -302,15 +291,15 @@ SELECT product, CAST(year(day) AS INTEGER) AS year, count(*) AS n_rows, CAST(sum
 FROM panel GROUP BY 1, 2""",
     "area_code": "SELECT c_custkey, substring(lpad(CAST(c_custkey * 137 AS VARCHAR), 5, '0'), 1, 2) AS area FROM customer",
     "weekday_index": "SELECT o_orderkey, CAST(isodow(CAST(o_orderdate AS DATE)) - 1 AS TINYINT) AS weekday FROM orders",
-    "ref_spread": f"""WITH {DENSE},
+    "ref_spread": f"""WITH {EACH_DAY},
 {calendar('2023-12-20', '2024-02-06')}
 SELECT d.entity, d.product, d.day, CAST(d.prev_price - r.ref_lag0 * CAST(0.01 AS DOUBLE) AS FLOAT) AS ref_spread
-FROM dense d LEFT JOIN ref_filled r ON d.day = r.day""",
+FROM each_day d LEFT JOIN quoted r ON d.day = r.day""",
     "map_link": f"WITH {STATIONS} SELECT entity, {LINK.format(middle='NULL, ')} AS map_link FROM stations",
-    "target_weight": f"""WITH {DENSE}
+    "target_weight": f"""WITH {EACH_DAY}
 SELECT entity, product, day, CAST(price - prev_price AS FLOAT) AS target,
   CASE WHEN CAST(price - prev_price AS FLOAT) > CAST(0.002 AS FLOAT) THEN CAST(1.4 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS weight
-FROM dense WHERE prev_price IS NOT NULL""",
+FROM each_day WHERE prev_price IS NOT NULL""",
     "dead_band": f"WITH {SCORED} SELECT entity, product, day, raw_delta, delta FROM scored",
     "trend_label": f"WITH {SCORED} SELECT entity, product, day, predicted, actual FROM labelled",
     "predicted_price": f"""WITH {SCORED} SELECT entity, product, day,
