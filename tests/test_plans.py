@@ -73,3 +73,29 @@ def test_radius_search_pushes_the_latitude_bound(spark, tmp_path):
     )
     plan = final_plan(within_radius(spark.read.parquet(str(tmp_path / "s")), 45.0, 2.0, 1000.0, product="E10"))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(latitude", plan)
+
+
+@pytest.mark.parametrize("name", ["segment_report", "classification_report", "predicted_price"])
+def test_reports_read_the_events_once(spark, name):
+    plan = final_plan(QUERIES[name](spark, SF_DIR))
+    assert plan.count("Location:") == 1 and "Join" not in plan
+
+
+def test_slices_follow_the_partitions(spark):
+    """Fifty groups of equal size: none holds much, but all exceed a quarter of an average task and are cut."""
+    from tideline.operators.skew import SLICES_PER_PARTITION, heavy_groups, sliced_join
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        rows = spark.range(50_000).selectExpr("id % 50 as g", "id as entity")
+        counts = rows.groupBy("g").count()
+        heavy = heavy_groups(counts, ["g"], "count", min_rows=1)
+        assert {r._slices for r in heavy.collect()} == {8}  # 1000 rows, at most 50000 / 400 in a slice
+        assert heavy.count() <= 100 * SLICES_PER_PARTITION
+        joined = sliced_join(rows, counts, ["g"], heavy_left=heavy, spread_left=["entity"])
+        plain = rows.join(counts, "g")
+        assert joined.count() == 50_000
+        assert joined.exceptAll(plain.select(*joined.columns)).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

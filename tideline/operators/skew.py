@@ -1,7 +1,8 @@
 """Equi-joins in which one group may hold a large share of the rows.
 
 The groups that need care are found from counts, so their number is bounded: at most ``1 / share`` groups can hold more
-than ``share`` of all rows. That list is safe to broadcast whatever the data. Each heavy group is cut into slices by
+than ``share`` of all rows. The share follows the number of shuffle partitions, so a slice is a fixed part of what a task
+gets on average, and the list has a few rows per partition: it is safe to broadcast whatever the data. Each heavy group is cut into slices by
 another column, and the other side's row of that group is repeated once per slice; light groups stay as they are.
 """
 
@@ -13,14 +14,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 0.001
+SLICES_PER_PARTITION = 4  # a slice holds at most this part of a task's average rows
 MIN_SLICE_ROWS = 50_000
 
 
 def heavy_groups(
-    counts: DataFrame, keys: Sequence[str], n: str, *, share: float = HEAVY_SHARE, min_rows: int = MIN_SLICE_ROWS
+    counts: DataFrame, keys: Sequence[str], n: str, *, share: float | None = None, min_rows: int = MIN_SLICE_ROWS
 ) -> DataFrame:
-    """Groups larger than ``share`` of all rows (and than ``min_rows``) with ``_slices``, the parts to cut them into."""
+    """Groups larger than ``share`` of all rows (and than ``min_rows``) with ``_slices``, the parts to cut them into.
+
+    By default the share is one in ``SLICES_PER_PARTITION`` times the shuffle partitions.
+    """
+    if share is None:
+        share = 1 / (SLICES_PER_PARTITION * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     total = counts.agg(F.sum(n).alias("_total")).scalar()
     limit = F.greatest(total * F.lit(share), F.lit(float(min_rows)))
     return counts.select(*keys, F.ceil(F.col(n) / limit).cast("int").alias("_slices")).where("_slices > 1")

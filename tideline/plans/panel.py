@@ -52,31 +52,49 @@ def feature_panel(
     history = price_history(daily, window=window, scale=scale, carry=carry)
     if entities is not None:
         history = history.join(entities.drop("first_day", "last_day"), list(KEY))
-    rows = _expand(history, start, end, extend)
-    prev_price = F.when(F.col("day") == F.col("_reading_day"), F.col("last_price")).otherwise(F.col("price"))
-    rows = rows.withColumn("prev_price", prev_price)
+    rows = price_panel(history, start=start, end=end, extend=extend, window=window, scale=scale)
 
     days = (date.fromisoformat(str(end)) - date.fromisoformat(str(start))).days + 1
     peer_rows = None if peer_groups is None else peer_groups * days
     panel = join_peers(rows, peer_totals(rows, scale=scale), peer_rows=peer_rows, scale=scale)
-
-    age = F.datediff("day", "first_day")
-    run_start = F.greatest(F.col("run_day"), F.date_add("first_day", 1))
-    total = trailing_units("day", window)
     return (
         panel.join(F.broadcast(calendar), "day", "left")
         .withColumns(
             {
                 "weekday": weekday_index(F.col("day")),
                 "ref_spread": ref_spread(F.col("prev_price"), F.col("ref_lag0"), ref_factor),
-                "days_unchanged": F.datediff("day", run_start).cast("smallint"),
-                "rolling_gap": gap_to_mean(F.col("prev_price"), total, F.least(age, F.lit(window)), scale),
             }
         )
         .select(*PANEL_COLUMNS)
     )
 
 
+def price_panel(
+    history: DataFrame,
+    *,
+    start: date | str,
+    end: date | str,
+    extend: bool = False,
+    window: int = 7,
+    scale: int = 1000,
+) -> DataFrame:
+    """The rows of the panel with what follows from a key's own prices, from :func:`price_history` of the same window.
+
+    ``price``, ``prev_price``, ``days_unchanged`` and ``rolling_gap``, next to the history's columns: one shuffle by key
+    before the expansion, none after it.
+    """
+    rows = _expand(history, start, end, extend)
+    prev_price = F.when(F.col("day") == F.col("_reading_day"), F.col("last_price")).otherwise(F.col("price"))
+    run_start = F.greatest(F.col("run_day"), F.date_add("first_day", 1))
+    known_days = F.least(F.datediff("day", "first_day"), F.lit(window))
+    return rows.withColumn("prev_price", prev_price).withColumns(
+        {
+            "days_unchanged": F.datediff("day", run_start).cast("smallint"),
+            "rolling_gap": gap_to_mean(F.col("prev_price"), trailing_units("day", window), known_days, scale),
+        }
+    )
+
+
 def _expand(history: DataFrame, start: date | str, end: date | str, extend: bool) -> DataFrame:
     """Days of each interval, from the day after the key's first one."""
     first_kept = F.greatest(F.date_add("first_day", 1), F.lit(str(start)).cast("date"))

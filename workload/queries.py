@@ -50,9 +50,10 @@ def raw_delta():
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event panel with a predicted change from a fixed formula."""
+    """The prices of the event panel with a predicted change from a fixed formula."""
+    history = intervals.price_history(st.daily(spark, sf_dir), scale=st.SCALE)
     return (
-        event_panel(spark, sf_dir)
+        pl.price_panel(history, start=st.START, end=st.END, scale=st.SCALE)
         .select("entity", "product", "day", "price", "prev_price", "rolling_gap")
         .withColumn("raw_delta", raw_delta())
         .withColumn("delta", fn.dead_band(F.col("raw_delta")))
