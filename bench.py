@@ -19,7 +19,7 @@ from workload.queries import QUERIES
 HEADLINE = (
     "feature_panel", "long_history", "daily_forecast", "rolling_state", "dedup_last_per_day", "asof_daily",
     "days_unchanged", "rolling_gap", "peer_gap", "segment_report", "classification_report", "radius_search",
-    "radius_join",
+    "radius_join", "publish_snapshot", "train_evaluate",
 )
 
 

@@ -51,6 +51,11 @@ def test_station_xml(spark, station_file):
     assert rows["3", "Gazole"].latitude is None
 
 
+def test_station_xml_with_more_attributes(spark, station_file):
+    rows = readers.read_station_xml(spark, station_file, more={"_cp": "code", "_phone": "phone"}).collect()
+    assert {r.code for r in rows} == {"01000", "69300", "75001"} and {r.phone for r in rows} == {None}
+
+
 def test_station_xml_feed(spark, station_file):
     feed = readers.read_station_xml(spark, station_file, require_time=True)
     assert feed.where("product = 'E85'").count() == 0 and feed.count() == 3

@@ -143,3 +143,24 @@ def test_lookup_is_total_and_bound(spark):
 def test_nearest_is_ordered_and_limited(spark):
     found = geo.nearest(predictions(spark), 45.80, 4.85, 50_000.0, limit=2)
     assert [r.entity for r in found.collect()] == ["a", "c"]
+
+
+@pytest.mark.parametrize("code", ["", "6930", "693000", "69300\n", "abcde", "' or 1=1"])
+def test_malformed_code(spark, code):
+    with pytest.raises(UnknownCode):
+        cheapest_around(spark, communes(spark), predictions(spark), code=code, product="E10", radius_km=10)
+
+
+@pytest.mark.parametrize("lat, lon", [(46.0, 2.0), (0.0, 179.9), (0.0, -179.9), (89.9, 10.0), (-60.0, 179.0), (70.0, -100.0)])
+@pytest.mark.parametrize("radius", [500.0, 50_000.0, 400_000.0])
+def test_longitude_bound_loses_nothing(spark, lat, lon, radius):
+    """Around the centre in rings just inside and outside the radius, longitudes also given a turn further."""
+    rows = spark.range(2000).selectExpr(
+        "string(id) as entity", "'E10' as product",
+        f"greatest(-90D, least(90D, {lat}D + cos(id) * {radius}D / 111195D * (0.5 + id % 11 / 10D))) as latitude",
+        f"{lon}D + sin(id) * {radius}D / 111195D / greatest(0.01D, cos(radians({lat}D))) * (0.5 + id % 7 / 6D)"
+        " + if(id % 5 = 0, 360, 0) as longitude",
+    )
+    everywhere = rows.where(great_circle_m(F.col("latitude"), F.col("longitude"), F.lit(lat), F.lit(lon)) <= F.lit(radius))
+    found = geo.within_radius(rows, lat, lon, radius)
+    assert found.count() == everywhere.count() > 0

@@ -81,6 +81,13 @@ def test_reports_read_the_events_once(spark, name):
     assert plan.count("Location:") == 1 and "Join" not in plan
 
 
+def test_rows_are_expanded_once(spark):
+    """The peer totals come from interval ends: the only generator of days over keys is the one of the rows."""
+    plan = final_plan(QUERIES["feature_panel"](spark, SF_DIR))
+    generated = re.findall(r"Generate (?:explode|inline)\(([^\n]*)", plan)
+    assert sum("entity" in g for g in generated) == 1
+
+
 def test_slices_follow_the_partitions(spark):
     """Fifty groups of equal size: none holds much, but all exceed a quarter of an average task and are cut."""
     from tideline.operators.skew import SLICES_PER_PARTITION, heavy_groups, sliced_join

@@ -21,10 +21,17 @@ def within_radius(
 ) -> DataFrame:
     """Stations at most ``radius_m`` from the point, with ``distance_m``.
 
-    The latitude bound is a plain range on a stored column and reaches the file scan; the exact distance decides.
+    The bounds of latitude and longitude are plain ranges on stored columns and reach the file scan; the exact distance
+    decides. There is no bound of longitude where the circle meets a pole or the antimeridian.
     """
     margin = radius_m / METRES_PER_DEGREE * 1.000001 + 1e-9
-    near = stations.where(F.col("latitude").between(lat - margin, lat + margin) & F.col("longitude").isNotNull())
+    longitude = F.col("longitude")
+    near = stations.where(F.col("latitude").between(lat - margin, lat + margin) & longitude.isNotNull())
+    if abs(lat) + margin < 90.0:
+        reach = math.degrees(math.asin(min(1.0, math.sin(math.radians(margin)) / math.cos(math.radians(lat)))))
+        west, east = lon - reach * 1.000001 - 1e-9, lon + reach * 1.000001 + 1e-9
+        if -180.0 <= west and east <= 180.0:  # longitudes outside the usual range are left to the distance
+            near = near.where(longitude.between(west, east) | (longitude < -180.0) | (longitude > 180.0))
     if product is not None:
         near = near.where(F.col("product") == F.lit(product))
     distance = great_circle_m(F.col("latitude"), F.col("longitude"), F.lit(lat), F.lit(lon))

@@ -10,11 +10,13 @@ large share of all rows, and is therefore pre-aggregated and joined instead of w
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import units
+from tideline.operators.intervals import expand_days
 from tideline.operators.skew import heavy_groups, null_safe_join, sliced_join
 from tideline.schema import KEY
 
@@ -69,6 +71,49 @@ def peer_totals(panel: DataFrame, *, scale: int = 1000) -> DataFrame:
     )
 
 
+def interval_peer_totals(
+    history: DataFrame, *, start: date | str, end: date | str, extend: bool = False
+) -> DataFrame:
+    """The totals of :func:`peer_totals` for ``start .. end``, from intervals that were not expanded into days.
+
+    ``history`` is :func:`tideline.operators.intervals.price_history` with ``product`` and ``area``. A price is the previous
+    price from the day after its reading to the next reading's day: it is added to its group on the first of these days and
+    taken off after the last. These changes are summed by group and day, then along the days of a group, so the work
+    follows readings, and the window sees at most one row per day and group.
+    """
+    first, last = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    known = history.withColumns(
+        {
+            "_from": F.greatest(F.date_add("day", 1), first),
+            "_to": F.least(F.coalesce("next_day", last if extend else F.col("day")), last),
+            "_known": F.col("price").isNotNull().cast("bigint"),
+        }
+    ).where("_from <= _to")
+    changes = F.array(
+        *[
+            F.struct(
+                at.alias("day"), (F.coalesce("_units0", F.lit(0)) * sign).alias("units"),
+                (F.col("_known") * sign).alias("known"), F.lit(sign).alias("rows"),
+            )
+            for at, sign in ((F.col("_from"), 1), (F.date_add("_to", 1), -1))
+        ]
+    )
+    by_day = known.select("product", "area", F.inline(changes)).groupBy(*PEER_GROUP).agg(
+        F.sum("units").alias("units"), F.sum("known").alias("known"), F.sum("rows").alias("rows")
+    )
+    days = Window.partitionBy("product", "area").orderBy("day")
+    so_far = days.rowsBetween(Window.unboundedPreceding, 0)
+    running = by_day.select(
+        *PEER_GROUP,
+        F.sum("units").over(so_far).alias("_sum"),
+        F.sum("known").over(so_far).alias("peer_count"),
+        F.sum("rows").over(so_far).alias("_rows"),
+        F.lead("day").over(days).alias("next_day"),
+    ).where("_rows > 0")
+    totals = running.withColumn("peer_units", F.expr("if(peer_count > 0, _sum, null)")).drop("_sum", "_rows")
+    return expand_days(totals).select(*PEER_GROUP, "peer_units", "peer_count")
+
+
 def join_peers(
     panel: DataFrame, peers: DataFrame, *, peer_rows: int | None, scale: int = 1000, key: Sequence[str] = KEY
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,10 @@ def cheapest_around(
 ) -> DataFrame:
     """Stations within ``radius_km`` of the code selling the product, cheapest first.
 
-    Raises :class:`UnknownCode` for a code without a commune. One row is brought to the driver: the centre.
+    Raises :class:`UnknownCode` for text that is not five digits and for a code without a commune. One row is brought to the driver: the centre.
     """
+    if not re.fullmatch("[0-9]{5}", code):
+        raise UnknownCode(code)
     centre = lookup_code(spark, communes, code).first()
     if centre is None:
         raise UnknownCode(code)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions.scalars import ref_spread, weekday_index
 from tideline.operators.intervals import expand_days, price_history, trailing_units
 from tideline.operators.readings import entity_span, last_per_day, with_area
-from tideline.operators.series import gap_to_mean, join_peers, peer_totals
+from tideline.operators.series import gap_to_mean, interval_peer_totals, join_peers
 from tideline.schema import ATTRIBUTES, KEY, PANEL_COLUMNS
 
 
@@ -56,7 +56,8 @@ def feature_panel(
 
     days = (date.fromisoformat(str(end)) - date.fromisoformat(str(start))).days + 1
     peer_rows = None if peer_groups is None else peer_groups * days
-    panel = join_peers(rows, peer_totals(rows, scale=scale), peer_rows=peer_rows, scale=scale)
+    peers = interval_peer_totals(history, start=start, end=end, extend=extend)
+    panel = join_peers(rows, peers, peer_rows=peer_rows, scale=scale)
     return (
         panel.join(F.broadcast(calendar), "day", "left")
         .withColumns(

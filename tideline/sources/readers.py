@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +31,20 @@ def read_station_xml(
     row_tag: str = "pdv",
     charset: str = "ISO-8859-1",
     require_time: bool = False,
+    more: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Station XML as readings, one row per price.
 
     Prices without a value are skipped, with ``require_time`` (the daily feed) also those without a time. Coordinates
     are stored times 100,000; an empty one is NULL. Stations without a price give no row.
+    ``more`` names further text columns by attribute (``_name``) or element of the station.
     """
+    more = dict(more or {})
+    known = STATION_XML.fieldNames()
+    schema = T.StructType([*STATION_XML.fields, *_fields(*[name for name in more if name not in known])])
     stations = (
         spark.read.format("xml")
-        .schema(STATION_XML)
+        .schema(schema)
         .option("rowTag", row_tag)
         .option("charset", charset)
         .load(path if isinstance(path, str) else ",".join(path))
@@ -57,6 +62,7 @@ def read_station_xml(
         F.col("_pop").alias("road_type"),
         F.col("ville").alias("city"),
         F.col("adresse").alias("address"),
+        *[F.col(name).alias(column) for name, column in more.items()],
     ).where("price is not null")
     return readings.where("observed_at is not null") if require_time else readings
 

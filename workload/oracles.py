@@ -214,7 +214,36 @@ SELECT label, round_even(precision * 10000, 0) / 10000 AS precision, round_even(
 
 LABELS = "(VALUES ('down'), ('stable'), ('up'))"
 
+STATION_FILE = """SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS product,
+  CASE WHEN event_id % 11 <> 0 THEN ts END AS observed_at, value AS price,
+  CASE WHEN user_id % 13 <> 0 THEN CAST(4200000 + user_id * 37 % 900 * 1000 AS DOUBLE) / CAST(100000 AS DOUBLE) END AS latitude,
+  CAST(-400000 + user_id * 53 % 1200 * 1000 AS DOUBLE) / CAST(100000 AS DOUBLE) AS longitude,
+  lpad(CAST(user_id * 137 % 95000 AS VARCHAR), 5, '0') AS postal_code,
+  CASE WHEN user_id % 10 = 0 THEN 'A' ELSE 'R' END AS road_type, 'City ' || (user_id % 50) AS city,
+  (event_id % 4) || ' rue de l\u2019\u00c9t\u00e9 & Fils' AS address{more}
+FROM events WHERE value IS NOT NULL AND event_id % 7 <> 0"""
+
 ORACLES: dict[str, str] = {
+    "ingest_stations": STATION_FILE.format(more=", CASE WHEN user_id % 3 <> 0 THEN CAST(user_id % 7 AS VARCHAR) END AS lanes"),
+    "ingest_feed": STATION_FILE.format(more="") + " AND event_id % 11 <> 0",
+    "ingest_quotes": """SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice AS ref FROM orders
+WHERE o_orderkey % 9 <> 0 AND o_orderkey % 5 <> 0 AND o_orderdate >= DATE '1996-01-01'""",
+    "ingest_breaks": """SELECT CAST(o_orderdate AS DATE) AS day, CAST(o_orderkey % 2 = 0 AS INTEGER) AS break_zone_a,
+  CASE WHEN o_orderkey % 3 <> 0 THEN 0 END AS break_zone_b, CASE WHEN o_orderkey % 5 = 0 THEN 1 END AS break_zone_c
+FROM orders WHERE o_orderdate >= DATE '1996-01-01'""",
+    "ingest_holidays": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE day(o_orderdate) = 1",
+    "ingest_communes": """SELECT s_name AS commune, lpad(CAST(s_suppkey * 137 % 9500 AS VARCHAR), 5, '0') AS code,
+  CASE WHEN s_suppkey % 4 <> 0 THEN s_acctbal END AS latitude, CASE WHEN s_suppkey % 6 <> 0 THEN s_acctbal END AS longitude
+FROM supplier""",
+    "train_evaluate": f"""WITH {SCORED},
+valid AS (SELECT * FROM labelled WHERE day >= DATE '2024-01-21'),
+sizes AS (SELECT t, (SELECT count(*) FROM valid WHERE actual = t) AS n FROM {LABELS} a(t)),
+errors AS (SELECT count(*) AS n, CAST(sum(naive) AS DOUBLE) / (count(*) * CAST(1000000 AS DOUBLE)) AS naive FROM micro
+  WHERE day >= DATE '2024-01-21')
+SELECT 'support ' || t AS measure, CAST(n AS DOUBLE) AS value FROM sizes
+UNION ALL SELECT 'cells ' || t, n FROM sizes
+UNION ALL SELECT 'rows', n FROM errors UNION ALL SELECT 'naive error', naive FROM errors UNION ALL SELECT 'scores', n FROM errors
+UNION ALL SELECT 'scores missing', 0 UNION ALL SELECT 'scores changed by a reload', 0""",
     "scan_glob": """SELECT event_type AS product, count(*) AS n_rows,
   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1""",
     "json_keys_explode": "SELECT event_id, unnest(json_keys(props)) AS name FROM events",
@@ -340,7 +369,7 @@ SELECT {LINK.format(middle='')} AS map_link, entity, price,
   CAST(round(d) AS BIGINT) AS distance_m FROM near WHERE d <= 200000 ORDER BY price, entity""",
     "radius_topk": f"""WITH {STATIONS},
 near AS (SELECT *, {distance('latitude', 'longitude', 'CAST(46 AS DOUBLE)', 'CAST(2 AS DOUBLE)')} AS d FROM stations)
-SELECT entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM near WHERE d <= 100000 ORDER BY d, entity, product LIMIT 100""",
+SELECT entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM near WHERE d <= 100000 ORDER BY d, entity, product LIMIT 25""",
     "radius_join": f"""WITH {STATIONS},
 pairs AS (SELECT c.s_suppkey AS code, s.entity, s.product,
     {distance('c.latitude', 'c.longitude', 's.latitude', 's.longitude')} AS d FROM communes c, stations s)

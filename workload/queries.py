@@ -99,6 +99,78 @@ def communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- ingest: tables written as the files the readers take ------------------------------------------------------------
+
+
+def _station_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as station XML, some without a value, a time or a latitude."""
+    path = fresh_path(spark, "stations-xml")
+    st.table(spark, sf_dir, "events").selectExpr(
+        "string(user_id) as _id",
+        "if(user_id % 13 = 0, '', string(4200000 + user_id * 37 % 900 * 1000)) as _latitude",
+        "string(-400000 + user_id * 53 % 1200 * 1000) as _longitude",
+        "lpad(string(user_id * 137 % 95000), 5, '0') as _cp", "if(user_id % 10 = 0, 'A', 'R') as _pop",
+        "if(user_id % 3 = 0, null, string(user_id % 7)) as _lanes",
+        "concat(event_id % 4, ' rue de l\u2019\u00c9t\u00e9 & Fils') as adresse", "concat('City ', user_id % 50) as ville",
+        "array(struct(event_type as _nom, if(event_id % 11 = 0, null, string(ts)) as _maj,"
+        " if(event_id % 7 = 0, '', string(value)) as _valeur)) as prix",
+    ).write.format("xml").option("rootTag", "pdv_liste").option("rowTag", "pdv").save(path)
+    return path
+
+
+@query
+def ingest_stations(spark, sf_dir):
+    path = _station_files(spark, sf_dir)
+    return readers.read_station_xml(spark, path, charset="UTF-8", more={"_lanes": "lanes"})
+
+
+@query
+def ingest_feed(spark, sf_dir):
+    return readers.read_station_xml(spark, _station_files(spark, sf_dir), charset="UTF-8", require_time=True)
+
+
+@query
+def ingest_quotes(spark, sf_dir):
+    """Order totals as an exported sheet: other text in place of some days and prices."""
+    path = fresh_path(spark, "quotes-csv")
+    st.table(spark, sf_dir, "orders").selectExpr(
+        "if(o_orderkey % 9 = 0, 'Date', string(o_orderdate)) as day",
+        "if(o_orderkey % 5 = 0, 'n/a', string(o_totalprice)) as ref",
+    ).write.csv(path)
+    return readers.read_ref_csv(spark, path, since="1996-01-01")
+
+
+@query
+def ingest_breaks(spark, sf_dir):
+    path = fresh_path(spark, "breaks-csv")
+    st.table(spark, sf_dir, "orders").selectExpr(
+        "date_format(o_orderdate, 'yyyy-MM-dd') as date", "if(o_orderkey % 2 = 0, 'True', 'False') as vacances_zone_a",
+        "if(o_orderkey % 3 = 0, '', 'False') as vacances_zone_b", "if(o_orderkey % 5 = 0, 'True', null) as vacances_zone_c",
+        "o_orderpriority as nom_vacances",
+    ).write.option("header", True).csv(path)
+    return readers.read_breaks_csv(spark, path, since="1996-01-01")
+
+
+@query
+def ingest_holidays(spark, sf_dir):
+    """One JSON object with an entry per first of a month; its size is bounded by the calendar."""
+    path = fresh_path(spark, "holidays-json")
+    days = st.table(spark, sf_dir, "orders").where("dayofmonth(o_orderdate) = 1").selectExpr("string(to_date(o_orderdate)) as day")
+    entries = F.collect_set(F.struct("day", F.lit("off").alias("label")))
+    days.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.text(path)
+    return readers.read_holidays_json(spark, path)
+
+
+@query
+def ingest_communes(spark, sf_dir):
+    path = fresh_path(spark, "communes-csv")
+    st.table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey as code_commune_INSEE", "s_name as nom_commune_postal", "s_suppkey * 137 % 9500 as code_postal",
+        "if(s_suppkey % 4 = 0, null, s_acctbal) as latitude", "if(s_suppkey % 6 = 0, 'unknown', string(s_acctbal)) as longitude",
+    ).write.option("header", True).csv(path)
+    return readers.read_communes_csv(spark, path)
+
+
 # --- sources and sinks ---------------------------------------------------------------------------------------------
 
 EVENTS = T.StructType(
@@ -455,13 +527,27 @@ def classification_report(spark, sf_dir):
 
 @query
 def train_evaluate(spark, sf_dir):
-    """Fit on the first weeks of the event panel, report on the rest. No SQL form; a small number of trees."""
+    """Fit on the first weeks of the event panel and report on the rest: what must hold whatever the trees say."""
     panel = settle(event_panel(spark, sf_dir), "panel")
     parts = pl.with_split(panel, train=(st.START, "2024-01-20"), valid_from="2024-01-21")
-    _, reports = model.train_and_evaluate(
-        parts.where("part = 'train'"), parts.where("part = 'valid'"), trees=10, rate=0.1
-    )
-    return reports["classes"]
+    valid = parts.where("part = 'valid'")
+    fitted, reports = model.train_and_evaluate(parts.where("part = 'train'"), valid, trees=10, rate=0.1)
+    path = fresh_path(spark, "model")
+    model.save_model(fitted, path)
+    once = model.score(fitted, valid).withColumnRenamed("raw_delta", "first_delta")
+    twice = model.score(model.load_model(path), once)
+    measures = [
+        reports["classes"].where("label in ('down', 'stable', 'up')").selectExpr("'support ' || label as measure", "support as value"),
+        reports["confusion"].groupBy("actual").agg(F.sum("n_rows").alias("n"))
+        .selectExpr("'cells ' || actual as measure", "n as value"),
+        reports["errors"].selectExpr("stack(2, 'rows', double(n_rows), 'naive error', naive_mae) as (measure, value)"),
+        twice.selectExpr(
+            "count(distinct entity, product, day) as n", "count_if(raw_delta is null or isnan(raw_delta)) as empty",
+            "count_if(raw_delta <> first_delta) as changed",
+        ).selectExpr("stack(3, 'scores', n, 'scores missing', empty, 'scores changed by a reload', changed) as (measure, value)"),
+    ]
+    typed = [m.select("measure", F.col("value").cast("double").alias("value")) for m in measures]
+    return typed[0].unionByName(typed[1]).unionByName(typed[2]).unionByName(typed[3])
 
 
 # --- locations -----------------------------------------------------------------------------------------------------
@@ -483,7 +569,7 @@ def radius_search(spark, sf_dir):
 
 @query
 def radius_topk(spark, sf_dir):
-    return geo.nearest(stations(spark, sf_dir), 46.0, 2.0, 100_000.0, limit=100).select(
+    return geo.nearest(stations(spark, sf_dir), 46.0, 2.0, 100_000.0, limit=25).select(
         "entity", "product", F.rint("distance_m").cast("bigint").alias("distance_m")
     )
 
