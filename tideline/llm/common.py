@@ -11,8 +11,9 @@ NAME_BUCKETS = 65_536
 def number_rows(table: DataFrame, into: str = "_row") -> DataFrame:
     """Each row with a number of its own, so that repeated rows (equal ids, equal texts) stay apart.
 
-    The table must be a stored one: a scan deals out its files alike each time it is evaluated, also after an executor
-    is lost, so every evaluation numbers the rows alike. ``settle`` a computed table first.
+    The numbers hold within one evaluation only: a scan is cut by the parallelism of the moment, which changes when an
+    executor goes or comes, so a later evaluation may number the rows differently. ``settle`` the numbered rows, or what
+    is made of them in the same pass, and use only the stored numbers from there on.
     """
     return table.withColumn(into, F.monotonically_increasing_id())
 

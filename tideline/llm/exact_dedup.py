@@ -9,7 +9,8 @@ further rounds. So the rounds after the first work on copies only.
 
 Blocks travel once. Every chunk of documents (at most ``CHUNK_BYTES`` of text) sends each of its distinct blocks with a
 local number; what comes back is the name per local number. A passage that fills a third of the table is therefore one
-row per chunk, not one per copy.
+row per chunk, not one per copy. Which documents share a chunk depends on how the scan is cut, so one pass gives the blocks
+and the documents as numbers, and is settled.
 """
 
 from __future__ import annotations
@@ -28,34 +29,36 @@ from tideline.session import settle
 BLOCK_BYTES = 1024
 CHUNK_BYTES = 24 << 20
 
-_BLOCKS = pa.schema([("chunk", pa.int64()), ("local", pa.int32()), ("n", pa.int64()), ("block", pa.binary())])
-_SEQUENCES = pa.schema([("chunk", pa.int64()), ("_row", pa.int64()), ("locals", pa.binary())])
+_BLOCK = [("chunk", pa.int64()), ("local", pa.int32()), ("n", pa.int64()), ("block", pa.binary())]
+_DOCUMENT = [("_row", pa.int64()), ("locals", pa.binary()), ("text_sha256", pa.string())]
+_CHUNK_SQL = "chunk long, local int, n long, block binary, _row long, locals binary, text_sha256 string"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], size: int, want_blocks: bool) -> Iterator[pa.RecordBatch]:
-    """Number the distinct blocks of each chunk; emit either the numbered blocks or the documents as numbers."""
-    chunk, held, numbers, counts, rows, sequences = None, 0, {}, [], [], []
+def _chunk_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Number the distinct blocks of each chunk; emit the numbered blocks (without ``_row``), then the documents as numbers."""
+    chunk, held, numbers, counts, rows, sequences, hashes, ids = None, 0, {}, [], [], [], [], []
 
     def emitted():
-        if want_blocks:
-            names = list(numbers)
-            step = max(1, (8 << 20) // size)
-            for at in range(0, len(names), step):
-                part = names[at : at + step]
-                local = np.arange(at, at + len(part), dtype=np.int32)
-                yield pa.record_batch(
-                    [np.full(len(part), chunk), local, np.array(counts[at : at + len(part)], np.int64), part], _BLOCKS
-                )
-        elif rows:
-            yield pa.record_batch([np.full(len(rows), chunk), np.array(rows, np.int64), sequences], _SEQUENCES)
+        schema = pa.schema([*_BLOCK, *_DOCUMENT, ("doc_id", kind)])
+        names = list(numbers)
+        step = max(1, (8 << 20) // size)
+        for at in range(0, len(names), step):
+            part = names[at : at + step]
+            local = np.arange(at, at + len(part), dtype=np.int32)
+            own = [np.full(len(part), chunk), local, np.array(counts[at : at + len(part)], np.int64), part]
+            yield pa.record_batch([*own, *([None] * len(part) for _ in range(4))], schema)
+        none = [None] * len(rows)
+        yield pa.record_batch([np.full(len(rows), chunk), none, none, none, rows, sequences, hashes, ids], schema)
 
     for batch in batches:
-        for row, text in zip(batch.column("_row").to_pylist(), batch.column("_text"), strict=True):
+        kind = batch.column("doc_id").type
+        columns = [batch.column(c).to_pylist() for c in ("_row", "doc_id", "text_sha256")]
+        for row, doc_id, sha256, text in zip(*columns, batch.column("_text"), strict=True):
             data = text.as_py()
             if chunk is None or held + len(data) > CHUNK_BYTES:
                 if chunk is not None:
                     yield from emitted()
-                chunk, held, numbers, counts, rows, sequences = row, 0, {}, [], [], []
+                chunk, held, numbers, counts, rows, sequences, hashes, ids = row, 0, {}, [], [], [], [], []
             held += len(data)
             found = []
             for at in range(0, max(1, len(data)), size):
@@ -65,9 +68,10 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, want_blocks: bool) ->
                     counts.append(0)
                 counts[number] += 1
                 found.append(number)
-            if not want_blocks:
-                rows.append(row)
-                sequences.append(np.array(found, np.int32).tobytes())
+            rows.append(row)
+            sequences.append(np.array(found, np.int32).tobytes())
+            hashes.append(sha256)
+            ids.append(doc_id)
     if chunk is not None:
         yield from emitted()
 
@@ -89,10 +93,17 @@ def _replace(sequences: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _first_names(texts: DataFrame, block_bytes: int) -> DataFrame:
+def _chunks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """The blocks and the documents (rows with a ``_row``) of (_row, doc_id, _text), settled in one pass."""
+    kind = dict(rows.dtypes)["doc_id"]
+    hashed = rows.select("_row", "doc_id", "_text", F.sha2("_text", 256).alias("text_sha256"))
+    return settle(hashed.mapInArrow(lambda b: _chunk_batches(b, block_bytes), f"{_CHUNK_SQL}, doc_id {kind}"), "chunks")
+
+
+def _first_names(chunks: DataFrame) -> DataFrame:
     """(_row, names, alone): each document as the sequence of its blocks' names."""
-    blocks = texts.mapInArrow(lambda b: _chunks(b, block_bytes, True), "chunk long, local int, n long, block binary")
-    sequences = texts.mapInArrow(lambda b: _chunks(b, block_bytes, False), "chunk long, _row long, locals binary")
+    blocks = chunks.where("_row is null").select("chunk", "local", "n", "block")
+    sequences = chunks.where("_row is not null").select("chunk", "_row", "locals")
     names = integer_names(blocks, ["block"], "n").select("chunk", "local", "name", "total")
     return (
         sequences.groupBy("chunk")
@@ -123,12 +134,12 @@ def _open(state: DataFrame) -> DataFrame:
     return state.where("not alone and size(names) > 1").select("_row", "blocks", "names")
 
 
-def shared_identities(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(_row, blocks, name) of the rows of (_row, _text) that no block told apart from all others.
+def shared_identities(chunks: DataFrame) -> DataFrame:
+    """(_row, blocks, name) of the documents of ``_chunks`` that no block told apart from all others.
 
     Equal (blocks, name) mean equal texts; a row that is missing here has a text of its own.
     """
-    first = _first_names(texts, block_bytes).withColumn("blocks", F.size("names"))
+    first = _first_names(chunks).withColumn("blocks", F.size("names"))
     state = settle(first, "block-names")
     done, state = _finished(state), _open(state)
     width = state.agg(F.max("blocks")).first()[0] or 1
@@ -145,14 +156,15 @@ def exact_groups(
 
     Of equal texts the row with the largest doc_id stays (null ids come last; of equal ids the first row stays), and
     ``kept`` is true for exactly one row of each group. Null text counts as empty. Repeated rows are rows of their own.
-    An empty table gives an empty result. Other columns of ``docs`` are not read. ``docs`` is a stored table; ``row``
-    names its row numbers, if it has them (see ``number_rows``).
+    An empty table gives an empty result. Other columns of ``docs`` are not read. ``docs`` is read once; ``row`` names
+    its row numbers, if it has them (see ``number_rows``).
     """
     rows = (docs.withColumnRenamed(row, "_row") if row else number_rows(docs.select(doc_id, text))).select(
         "_row", F.col(doc_id).alias("doc_id"), whole_text(text).cast("binary").alias("_text")
     )
-    shared = shared_identities(rows.select("_row", "_text"), block_bytes)
-    ids = rows.select("_row", "doc_id", F.sha2("_text", 256).alias("text_sha256"))
+    chunks = _chunks(rows, block_bytes)
+    shared = shared_identities(chunks)
+    ids = chunks.where("_row is not null").select("_row", "doc_id", "text_sha256")
     members = shared.join(ids.select("_row", F.col("doc_id").alias("_id")), "_row")
     best = F.max(F.struct(F.col("_id").isNotNull().alias("known"), "_id", (-F.col("_row")).alias("first")))
     groups = members.groupBy("blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
@@ -172,6 +184,6 @@ def exact_groups(
 
 def drop_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without their exact copies, with all their columns; rules as in ``exact_groups``."""
-    numbered = number_rows(docs, "_copy_row")
+    numbered = settle(number_rows(docs, "_copy_row"), "numbered-docs")
     dropped = exact_groups(numbered, doc_id=doc_id, text=text, row="_copy_row").where("not kept")
     return numbered.join(dropped.select(F.col("row_number").alias("_copy_row")), "_copy_row", "left_anti").select(*docs.columns)

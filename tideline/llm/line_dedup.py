@@ -149,9 +149,9 @@ def drop_repeated_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     as well: in a document of smaller doc_id (null ids last, equal ids by row), or before it in its own document without
     overlap. Lines are equal when identical; blank lines neither count nor go. The first copy always stays whole unless
     it lies itself in a copy of something earlier. Null text counts as empty; repeated rows are documents of their own;
-    an empty table gives an empty result; other columns are not read. ``docs`` is a stored table.
+    an empty table gives an empty result; other columns are not read. ``docs`` is read once.
     """
-    rows = number_rows(docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text")))
+    rows = settle(number_rows(docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text"))), "numbered-texts")
     gone = later_copies(rows, min_words=min_words).groupBy("_row").agg(F.collect_list("pos").alias("gone"))
     kind = dict(rows.dtypes)["doc_id"]
     joined = rows.join(gone, "_row", "left").select("_row", "doc_id", "_text", "gone")

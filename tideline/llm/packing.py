@@ -27,10 +27,10 @@ OPEN_WINDOWS = 128
 MERGED_PARTITIONS = 16
 TEXTS_AT_ONCE = 64
 
-_PIECE = pa.schema(
-    [("_row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()),
-     ("doc_tokens", pa.int64()), ("sequence", pa.int64()), ("offset", pa.int64())]
-)
+_PIECE = [
+    ("_row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()),
+    ("doc_tokens", pa.int64()), ("sequence", pa.int64()), ("offset", pa.int64()),
+]
 _PIECE_SQL = "_row long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence long, offset long"
 
 
@@ -68,8 +68,8 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
             rows = batch.column(0).to_pylist()
             if windows is None:
                 windows = OpenWindows(capacity, limit, (rows[0] >> 33) << 32)
-            out = []
-            for row, ids in zip(rows, words.encode(batch.column(1).to_pylist()), strict=True):
+            out, origins = [], []
+            for origin, (row, ids) in enumerate(zip(rows, words.encode(batch.column(1).to_pylist()), strict=True)):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
@@ -77,10 +77,12 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
                     length = len(piece) // 4
                     window, offset = (windows.new(), 0) if length == capacity else windows.place(length)
                     out.append((row, start, length, piece, zlib.crc32(piece), total, window, offset))
-            yield pa.record_batch([list(c) for c in zip(*out, strict=True)], _PIECE)
+                    origins.append(origin)
+            schema = pa.schema([*_PIECE, ("doc_id", batch.column(2).type)])
+            yield pa.record_batch([*(list(c) for c in zip(*out, strict=True)), batch.column(2).take(pa.array(origins))], schema)
     if windows and windows.rooms:
-        left = [(None, None, capacity - room, None, None, None, window, None) for room, window in windows.rooms]
-        yield pa.record_batch([list(c) for c in zip(*left, strict=True)], _PIECE)
+        left = [(None, None, capacity - room, None, None, None, window, None, None) for room, window in windows.rooms]
+        yield pa.record_batch([list(c) for c in zip(*left, strict=True)], schema)
 
 
 def merge_windows(windows: pd.DataFrame, capacity: int, limit: int) -> pd.DataFrame:
@@ -142,12 +144,13 @@ def pack_documents(
     ``tokenizer`` is a tokenizers file that every executor can read. Each document is encoded whole and ends with
     ``end_id``; null text counts as empty and gives that id alone. Each id lies in exactly one piece, and the pieces of a
     sequence leave no gap before its padding. Repeated rows and null ids are documents of their own; an empty table gives
-    an empty result. Other columns are not read. ``docs`` is a stored table.
+    an empty result. Other columns are not read. ``docs`` is read once.
     """
     numbered = number_rows(docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text")))
+    kind = dict(numbered.dtypes)["doc_id"]
     pieces = settle(
-        numbered.select("_row", "_text").mapInArrow(
-            lambda b: _piece_batches(b, tokenizer, end_id, capacity, open_windows), _PIECE_SQL
+        numbered.select("_row", "_text", "doc_id").mapInArrow(
+            lambda b: _piece_batches(b, tokenizer, end_id, capacity, open_windows), f"{_PIECE_SQL}, doc_id {kind}"
         ),
         "pieces",
     )
@@ -155,7 +158,6 @@ def pack_documents(
     return (
         pieces.where("_row is not null")
         .join(moves, "sequence", "left")
-        .join(numbered.select("_row", "doc_id"), "_row")
         .select(
             "doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens",
             F.coalesce("host", "sequence").alias("sequence_id"),

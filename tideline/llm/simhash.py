@@ -31,7 +31,6 @@ SHINGLES_AT_ONCE = 1 << 17
 WORDS_AT_ONCE = 1 << 14
 ALL_ONES = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
 
-_PRINT = pa.schema([("_row", pa.int64()), ("fingerprint", pa.int64())])
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -78,24 +77,32 @@ def _prints(hashes: list[int], lengths: list[int]) -> np.ndarray:
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    rows, hashes, lengths = [], [], []
+    rows, ids, hashes, lengths = [], [], [], []
+
+    def made():
+        schema = pa.schema([("_row", pa.int64()), ("doc_id", kind), ("fingerprint", pa.int64())])
+        return pa.record_batch([rows, ids, _prints(hashes, lengths)], schema)
+
     for batch in batches:
-        for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        kind = batch.column(1).type
+        for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             found = _shingle_hashes(text.as_py(), words)
             rows.append(row)
+            ids.append(doc_id)
             lengths.append(len(found))
             hashes += found
             if len(hashes) >= SHINGLES_AT_ONCE:
-                yield pa.record_batch([np.array(rows, np.int64), _prints(hashes, lengths)], _PRINT)
-                rows, hashes, lengths = [], [], []
+                yield made()
+                rows, ids, hashes, lengths = [], [], [], []
     if rows:
-        yield pa.record_batch([np.array(rows, np.int64), _prints(hashes, lengths)], _PRINT)
+        yield made()
 
 
 def fingerprints(rows: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(_row, fingerprint) of (_row, _text): a bit is set if it is set in over half of the shingles' hashes."""
-    data = rows.select("_row", F.col("_text").cast("binary"))
-    return data.mapInArrow(lambda b: _fingerprint_batches(b, words), "_row long, fingerprint long")
+    """(_row, doc_id, fingerprint) of (_row, doc_id, _text): a bit is set if it is set in over half of the shingles' hashes."""
+    data = rows.select("_row", "doc_id", F.col("_text").cast("binary"))
+    kind = dict(rows.dtypes)["doc_id"]
+    return data.mapInArrow(lambda b: _fingerprint_batches(b, words), f"_row long, doc_id {kind}, fingerprint long")
 
 
 # --- bit-sliced comparison -------------------------------------------------------------------------------------------
@@ -331,15 +338,14 @@ def near_groups(
     null ids are passed over, and a component with null ids only has none. ``kept`` is true for one row of each
     component: the smallest doc_id, of equal ids the first row. A text without words has fingerprint zero and links
     like any other; null text counts as empty. Repeated rows are rows of their own; an empty table gives an empty
-    result. Other columns are not read. ``docs`` is a stored table; ``row`` names its row numbers, if it has them.
+    result. Other columns are not read. ``docs`` is read once; ``row`` names its row numbers, if it has them.
     """
     rows = (docs.withColumnRenamed(row, "_row") if row else number_rows(docs.select(doc_id, text))).select(
         "_row", F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text")
     )
-    found = settle(fingerprints(rows, words), "fingerprints")
-    prints = found.groupBy("fingerprint").agg(F.lit(1).alias("one")).select("fingerprint")
+    named = settle(fingerprints(rows, words), "fingerprints")
+    prints = named.groupBy("fingerprint").agg(F.lit(1).alias("one")).select("fingerprint")
     roots = components(near_edges(prints, radius=max_bits, run_rows=run_rows))
-    named = found.join(rows.select("_row", "doc_id"), "_row")
     rooted = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -359,6 +365,6 @@ def near_groups(
 
 def drop_near_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The documents with one left of each component of ``near_groups``, with all their columns."""
-    numbered = number_rows(docs, "_near_row")
+    numbered = settle(number_rows(docs, "_near_row"), "numbered-docs")
     dropped = near_groups(numbered, doc_id=doc_id, text=text, row="_near_row", **how).where("not kept")
     return numbered.join(dropped.select(F.col("row_number").alias("_near_row")), "_near_row", "left_anti").select(*docs.columns)
