@@ -31,6 +31,34 @@ def test_article_alone(page):
     assert main_text(page) == TEXT
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div class='content with-sidebar'>{BODY}</div><div class=sidebar>Words words.</div>",
+        f"<body><div id=page class=no-sidebar><div>{BODY}</div></div>",
+        f"<body><div class='post has-comments'>{BODY}</div><div class=comments>Well said, I think.</div>",
+        f"<body><div class='social-policy'>{BODY}</div>",
+        f"<body><div class=sidebar>{BODY}</div><div class=menu>Home</div>",
+        f"<body><form action=page.aspx><div class=menu>Home, news</div><div>{BODY}</div></form>",
+        f"<body><div class=widget><article>{BODY}</article></div><p>" + "Other words. " * 40,
+        f"<head><title>T</title><meta charset=utf-8><div>{BODY}</div>",
+        f"<body><div>{BODY}<div class=related-posts>More of the same.</div><div class='post-comments'>I agree.</div></div>",
+        f"<body><main><div class='layout sidebar'>{BODY}</div></main>",
+    ],
+)
+def test_names_and_forms_around_the_article(page):
+    found = main_text(page)
+    assert found == TEXT or "Other words" in page and found.startswith(TEXT)
+
+
+def test_short_named_parts_go_and_head_stays_out():
+    assert main_text("<body>" + "<div class=promo><p>one two</p></div>" * 3) == "one two\none two\none two"
+    assert main_text("<body><div class=ad>An advert that is longer than the text.</div><article><p>Short text.</article>") == "Short text."
+    assert main_text("<head><title>T</title><noscript><p>no</p></noscript></head><p>text") == "text"
+    assert main_text("<head><title>T</title>text") == "text"
+    assert main_text(f"<body><article>{BODY}<div class=comments><article>Yes, quite.</article></div></article>") == TEXT
+
+
 def test_blocks_white_space_and_references():
     page = "<article><h1> A &amp;  B&nbsp;&copy; </h1><p>one\n two<b>three</b> f<i>our</i><br>five &#x41;&#66; &lt;p&gt;<p>six<ul><li>x<li>y</ul><p> </p>tail"
     assert main_text(page) == "A & B ©\none twothree four\nfive AB <p>\nsix\nx\ny\ntail"

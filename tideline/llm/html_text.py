@@ -5,8 +5,10 @@ links in few characters push the composite density down. A node's density sum ad
 article's container has the largest one. The lowest density on the path from there to the body is the threshold: inside the
 chosen subtree, parts below it that are mostly links go.
 
-What names itself as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) takes
-no part in the densities.
+Hidden elements, scripts, controls, navigation and the like take no part in the densities. What only names itself as
+something else by class, id or role (menus, sidebars, notices, adverts, comments), and forms, take no part either, unless
+they hold an h1, a main element, the page's longest article, or most of the body's characters outside links (the last does
+not count beside an article or main element that holds text). If nothing else holds text, names do not count.
 """
 
 from __future__ import annotations
@@ -37,12 +39,14 @@ ENDED_BY = {
     "tr": frozenset(["tr", "tbody", "thead", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "head": frozenset(["body"]),
 }
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 SCOPES = frozenset(["table", "ul", "ol", "dl", "select", "body", "html", "article", "section", "div", "main"])
 NEVER_TEXT = frozenset(
-    "head title script style noscript template iframe object embed canvas svg math audio video map form button input select"
-    " textarea label fieldset datalist output dialog nav aside footer menu".split()
+    "head title script style noscript template iframe object embed canvas svg math audio video map button input select"
+    " textarea label datalist output dialog nav aside footer menu".split()
 )
-# words of class, id and role that name a part which is not the article
+FORMS = frozenset(["form", "fieldset"])
+# names of class, id and role (whole ones, or the last word of one) of a part which is not the article
 NOT_ARTICLE = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion banner"
     " cookie cookies consent gdpr notice notices notification alert popup modal overlay nav navbar navigation menu menus"
@@ -50,6 +54,12 @@ NOT_ARTICLE = frozenset(
     " disqus respond reply replies discussion share sharing social related recommended recommendations newsletter subscribe"
     " subscription signup login search searchbox widget widgets skip complementary contentinfo dialog".split()
 )
+# words that may follow: related-posts; and words that tell of something beside: no-sidebar, has-comments
+PLACES = frozenset(
+    "area bar block body box button buttons container content form group holder icon icons inner item items label link links list"
+    " outer panel post posts row section slot text title unit wrap wrapper".split()
+)
+BESIDE = frozenset("no not non without with has have is".split())
 CONTAINERS = frozenset(["article", "main"])
 ROOTS = frozenset(["html", "body", "article", "main"])
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -57,8 +67,8 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
-def _is_other(tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool:
-    """Whether the element is no part of an article; ``inside``: within an article or main element."""
+def _is_never(tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool:
+    """Whether the element is no part of an article whatever it holds; ``inside``: within an article or main element."""
     if tag in ROOTS:
         return False
     if tag in NEVER_TEXT or tag == "header" and not inside:
@@ -66,21 +76,35 @@ def _is_other(tag: str, attributes: list[tuple[str, str | None]], inside: bool)
     for name, value in attributes:
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        if value and name in ("class", "id", "role"):
-            words = _WORDS.findall(_CAMEL.sub(" ", value).lower())
-            if not NOT_ARTICLE.isdisjoint(words) or not inside and "header" in words:
-                return True
         if value and name == "style" and _HIDDEN.search(value):
             return True
     return False
 
 
+def _is_named(tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool:
+    """Whether the element calls itself something else than an article, or is a form."""
+    if tag in ROOTS:
+        return False
+    if tag in FORMS:
+        return True
+    for name, value in attributes:
+        if value and name in ("class", "id", "role"):
+            for own in value.split():
+                words = _WORDS.findall(_CAMEL.sub(" ", own).lower())
+                telling = [w in NOT_ARTICLE or w == "header" and not inside for w in words]
+                if any(telling) and BESIDE.isdisjoint(words):
+                    if telling[-1] or all(t or w in PLACES for t, w in zip(telling, words, strict=True)):
+                        return True
+    return False
+
+
 class _Tree(HTMLParser):
     """Nodes in page order: ``parent`` comes before child; ``parts`` are (node, text or None at a block's edge)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.other, self.inside = ["#"], [-1], [False], [False]
+        self.tag, self.parent, self.inside = ["#"], [-1], [False]
+        self.never, self.named, self.other = [False], [False], [False]
         self.open = [0]
         self.parts: list[tuple[int, str | None]] = []
 
@@ -92,7 +116,8 @@ class _Tree(HTMLParser):
         self.parent.append(above)
         inside = self.inside[above] or tag in CONTAINERS
         self.inside.append(inside)
-        self.other.append(self.other[above] or _is_other(tag, attrs, inside))
+        self.never.append(self.never[above] or _is_never(tag, attrs, inside))
+        self.named.append(_is_named(tag, attrs, inside))
         if tag in BLOCKS:
             self.parts.append((node, None))
         if tag not in VOID:
@@ -102,6 +127,8 @@ class _Tree(HTMLParser):
         self.handle_starttag(tag, attrs)  # a slash ends void elements only
 
     def _close_implied(self, tag):
+        if self.tag[self.open[-1]] == "head" and tag not in IN_HEAD:
+            self._close_from(len(self.open) - 1)
         if tag in ENDS_P:
             self._close("p", SCOPES)
         for at in range(len(self.open) - 1, 0, -1):
@@ -130,9 +157,39 @@ class _Tree(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data):
+        if self.tag[self.open[-1]] == "head" and not data.isspace():
+            self._close_from(len(self.open) - 1)
         self.parts.append((self.open[-1], data))
 
 
+def others(tree: _Tree, sizes: list[tuple[int, int]], in_link: list[bool]) -> list[bool]:
+    """Whether each node takes no part; ``sizes``: the characters of each text with its node."""
+    n = len(tree.tag)
+    plain, marked = [0] * n, [False] * n
+    for node, size in sizes:
+        if not tree.never[node] and not in_link[node]:
+            plain[node] += size
+    for node in range(n - 1, 0, -1):
+        plain[tree.parent[node]] += plain[node]
+    articles = [i for i in range(n) if tree.tag[i] == "article" and not tree.never[i]]
+    longest = max(articles, key=lambda i: (plain[i], -i), default=None)
+    for node in range(n - 1, 0, -1):
+        if not tree.never[node] and (tree.tag[node] in ("h1", "main") or node == longest):
+            marked[node] = True
+        if marked[node]:
+            marked[tree.parent[node]] = True
+    body = next((i for i in range(n) if tree.tag[i] == "body"), 0)
+    told = any(plain[i] and tree.tag[i] in CONTAINERS and not tree.never[i] for i in range(n))
+    other = [False] * n
+    for node in range(1, n):
+        beside = told and not tree.inside[node]  # the article has an element of its own, this one lies outside
+        named = tree.named[node] and not marked[node] and (beside or 2 * plain[node] <= plain[body])
+        other[node] = other[tree.parent[node]] or tree.never[node] or named
+    if plain[body] and not any(size and not other[node] for node, size in sizes):
+        return tree.never
+    return other
+
+
 def densities(tree: _Tree) -> tuple[list[float], list[float], list[bool]]:
     """Composite density and density sum of every node, and whether most of its characters are links."""
     n = len(tree.tag)
@@ -140,9 +197,10 @@ def densities(tree: _Tree) -> tuple[list[float], list[float], list[bool]]:
     in_link = [False] * n
     for node in range(1, n):
         in_link[node] = in_link[tree.parent[node]] or tree.tag[node] == "a"
-    for node, text in tree.parts:
-        if text and not tree.other[node]:
-            size = len("".join(text.split()))
+    sizes = [(node, len("".join(text.split()))) for node, text in tree.parts if text]
+    tree.other = others(tree, sizes, in_link)
+    for node, size in sizes:
+        if not tree.other[node]:
             chars[node] += size
             link_chars[node] += size if in_link[node] else 0
     for node in range(n - 1, 0, -1):
