@@ -51,6 +51,13 @@ def test_names_and_forms_around_the_article(page):
     assert found == TEXT or "Other words" in page and found.startswith(TEXT)
 
 
+def test_linked_headings_and_paragraphs_of_the_article_stay():
+    page = f"<article><h2><a href='#s'>Section</a></h2>{BODY}<p><a href=y>Source of it all</a></p><div><h3><a href=z>More</a></h3></div>"
+    assert main_text(page) == f"Section\n{TEXT}\nSource of it all\nMore"
+    page = f"<article>{BODY}<ul><li><a href=1>Read this</a><li><a href=2>And this</a></ul><div><a href=3>One</a> <a href=4>two</a></div>"
+    assert main_text(page) == TEXT
+
+
 def test_short_named_parts_go_and_head_stays_out():
     assert main_text("<body>" + "<div class=promo><p>one two</p></div>" * 3) == "one two\none two\none two"
     assert main_text("<body><div class=ad>An advert that is longer than the text.</div><article><p>Short text.</article>") == "Short text."

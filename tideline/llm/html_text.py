@@ -3,7 +3,7 @@
 A page becomes a tree of its tags. For every node, characters per tag are weighed by how much of them is link text: many
 links in few characters push the composite density down. A node's density sum adds up the densities of its children; the
 article's container has the largest one. The lowest density on the path from there to the body is the threshold: inside the
-chosen subtree, parts below it that are mostly links go.
+chosen subtree, lists below it that are mostly links go, and so do divs and the like without a heading or paragraph.
 
 Hidden elements, scripts, controls, navigation and the like take no part in the densities. What only names itself as
 something else by class, id or role (menus, sidebars, notices, adverts, comments), and forms, take no part either, unless
@@ -60,6 +60,9 @@ PLACES = frozenset(
     " outer panel post posts row section slot text title unit wrap wrapper".split()
 )
 BESIDE = frozenset("no not non without with has have is".split())
+LISTS = frozenset("ul ol dl dir menu".split())
+GROUPS = frozenset("div section table center details".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figcaption".split())
 CONTAINERS = frozenset(["article", "main"])
 ROOTS = frozenset(["html", "body", "article", "main"])
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -249,11 +252,15 @@ def main_text(page: str | None) -> str:
         path.append(node)
     least = min((density[i] for i in path if density[i]), default=0.0)
     chosen = next((i for i in path if tree.tag[i] == "article"), None) or next((i for i in path if tree.tag[i] == "main"), best)
+    prose = [tag in PROSE and not tree.other[i] for i, tag in enumerate(tree.tag)]
+    for node in reversed(nodes[1:]):
+        prose[tree.parent[node]] = prose[tree.parent[node]] or prose[node]
     kept = [False] * len(tree.tag)
     for node in nodes:
         above = tree.parent[node]
         if node == chosen or node and kept[above] and not tree.other[node]:
-            links = tree.tag[node] in BLOCKS and mostly_links[node] and density[node] < least
+            group = tree.tag[node] in LISTS or tree.tag[node] in GROUPS and not prose[node]
+            links = group and mostly_links[node] and density[node] < least
             kept[node] = node == chosen or not links
     blocks, words = [], []
     for node, text in tree.parts:
