@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests_llm import awkward, clashing, documents, rows_of
+from tideline.llm import merkle
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def h(*parts):
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def told(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def tree(nodes, fanout):
+    """(root, per node the siblings (left, right) level by level)."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, p in enumerate(at):
+            first = p // fanout * fanout
+            paths[i].append(("".join(nodes[first:p]), "".join(nodes[p + 1 : first + fanout])))
+        nodes = [h(*nodes[i : i + fanout]) for i in range(0, len(nodes), fanout)]
+        at = [p // fanout for p in at]
+    return nodes[0], paths
+
+
+def brute(rows, claim=None, fanout=3):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r["source"]].append((r["doc_id"] is not None, r["doc_id"] or 0, h(*[told(r[f]) for f in FIELDS]), r))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    ordered = [sorted(groups[s], key=lambda x: x[:3]) for s in names]
+    made = [tree([x[2] for x in own], fanout) for own in ordered]
+    root, above = tree([m[0] for m in made], fanout) if made else (None, [])
+    out = []
+    for own, (subroot, paths), top in zip(ordered, made, above, strict=True):
+        for (_, _, leaf, r), path in zip(own, paths, strict=True):
+            path = path + top
+            node = claim(r) if claim else leaf
+            for left, right in path:
+                node = h(left, node, right)
+            out.append((r["doc_id"], leaf, subroot, root, h(*[x for p in path for x in p]), node, node == root))
+    return sorted(out, key=repr)
+
+
+def result(docs, **how):
+    made = merkle.manifest(docs, FIELDS, order="doc_id", group="source", **how)
+    return rows_of(made.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
+
+
+def sourced(spark, folder, sizes, seed=1):
+    rng, rows, at = random.Random(seed), [], 0
+    for source, n in sizes.items():
+        rows += [(at + i, f"t{rng.random()}", "en", source, i) for i in range(n)]
+        at += n
+    rng.shuffle(rows)
+    return documents(spark, rows, folder, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_awkward_rows(spark, tmp_path):
+    docs = awkward(spark, tmp_path)
+    assert result(docs) == brute(docs.collect())
+    assert result(clashing(docs).drop("row")) == result(docs)
+    assert result(docs.where("false")) == []
+
+
+# blocks of one leaf, of three and of nine, so that subtrees of blocks swap, also with partners missing
+@pytest.mark.parametrize("levels", [0, 1, 2, 7])
+def test_butterfly_against_plain_trees(spark, tmp_path, levels):
+    docs = sourced(spark, tmp_path, {None: 5, "": 1, "a": 28, "b": 3, "é": 64, "z": 2, "Z": 10, "hot": 130})
+    assert result(docs, levels=levels) == brute(docs.collect())
+
+
+@pytest.mark.parametrize("fanout", [2, 4])
+def test_other_fanouts(spark, tmp_path, fanout):
+    docs = sourced(spark, tmp_path, {"a": 37, "b": 16, "c": 1})
+    assert result(docs, fanout=fanout, levels=1) == brute(docs.collect(), fanout=fanout)
+
+
+@pytest.mark.parametrize("n", range(1, 30))
+def test_every_number_of_blocks(spark, n):
+    leaves = [h(str(i)) for i in range(n)]
+    roots = spark.createDataFrame([(7, i, n, x) for i, x in enumerate(leaves)], "tree long, block long, blocks long, node string")
+    root, paths = tree(leaves, 3)
+    found = {r.block: (r.node, [(p.left, p.right) for p in r.proof]) for r in merkle.butterfly(roots).collect()}
+    assert found == {i: (root, paths[i]) for i in range(n)}
+
+
+def test_one_source_of_one_row(spark, tmp_path):
+    docs = documents(spark, [(1, "x")], tmp_path)
+    ((_, leaf, subroot, root, proof, folded, verified),) = result(docs)
+    assert leaf == subroot == root == folded and verified and proof == h()
+
+
+def test_claims_and_proofs(spark, tmp_path):
+    docs = sourced(spark, tmp_path, {"a": 40, "b": 9}).withColumn("text", F.concat("text", F.lit("\n")))
+    path = f"{tmp_path}/lines.parquet"
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    cut = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    claim = F.when(F.col("doc_id") % 2 == 0, merkle.leaf_digest(*[F.col(f) for f in FIELDS[:-1]], cut))
+
+    def claimed(r):
+        text = r["text"].replace("\n", "") if r["doc_id"] % 2 == 0 else r["text"]
+        return h(*[told(r[f]) for f in FIELDS[:-1]], told(text))
+
+    assert result(docs, claim=claim, levels=1) == brute(docs.collect(), claimed)
+    made = merkle.manifest(docs, FIELDS, order="doc_id", group="source", claim=claim, levels=2)
+    for r in made.collect():
+        node = r.leaf
+        for left, right in r.proof:
+            node = h(left, node, right)
+        assert node == r.root and r.verified == (r.doc_id % 2 == 1)
+
+
+def test_whole_result_over_many_partitions(spark, tmp_path):
+    docs = sourced(spark, tmp_path, {"hot": 400, "b": 11, None: 20}).repartition(23)
+    assert result(docs, levels=1) == brute(docs.collect())
+
+
+def test_repeated_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = documents(spark, [(1, "a", None, "s", 1)] * 50 + [(2, None, None, None, None)] * 3, tmp_path, schema)
+    assert result(docs, levels=1) == brute(docs.collect())

@@ -11,7 +11,7 @@ LONG = " ".join(f"word{i * 7919 % 1009}" for i in range(30_000))
 
 def documents(spark: SparkSession, rows, folder, schema: str = DOCS) -> DataFrame:
     """A stored table of (doc_id, text) rows."""
-    full = [(i, t, None, None, None) for i, t in rows] if schema == DOCS else rows
+    full = [(*r, None, None, None) if len(r) == 2 else r for r in rows] if schema == DOCS else rows
     path = f"{folder}/documents.parquet"
     spark.createDataFrame(full, schema).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, html_text, line_dedup, maxscore, nbest, packing, quality, sharding, simhash, token_files
+from tideline.llm import (
+    exact_dedup,
+    html_text,
+    line_dedup,
+    maxscore,
+    merkle,
+    nbest,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_files,
+    vector_codes,
+)
 from tideline.session import fresh_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +111,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row a leaf; where 2 divides the checksum of the id, the text is claimed without its line feeds."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    claim = F.when(picked & F.contains("text", F.lit("\n")), merkle.leaf_digest(*[F.col(f) for f in fields[:-1]], tampered))
+    made = merkle.manifest(
+        table(spark, sf_dir, "documents"), fields, order="doc_id", group="source", claim=claim, with_proofs=False
+    )
+    return made.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"),
+    )
