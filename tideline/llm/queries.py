@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm import (
     exact_dedup,
     html_text,
+    hyperminhash,
     line_dedup,
     maxscore,
     merkle,
@@ -126,6 +127,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+@query
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
