@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import great_circle_m
 from tideline.operators import geo
+from tideline.operators.nearest import nearest_join
 from tideline.plans.comparator import UnknownCode, cheapest_around, lookup_code
 
 
@@ -95,6 +96,79 @@ def test_heavy_list_is_bounded(spark):
     assert len(heavy) <= 100 and sum(r._slices for r in heavy) <= 200
 
 
+def brute_nearest(centres, stations, n, radius=math.inf):
+    rows = set()
+    for i, a in enumerate(centres):
+        found = sorted((metres(a, b), str(j)) for j, b in enumerate(stations))
+        rows |= {(i, rank, entity) for rank, (m, entity) in enumerate(found[:n], 1) if m <= radius}
+    return rows
+
+
+def nearest_rows(spark, centres, stations, n, **how):
+    found = nearest_join(*tables(spark, centres, stations), n, **how)
+    return found, sorted((r.code, r.rank, r.entity) for r in found.collect())
+
+
+def apart(points, seed):
+    """The points, each moved by some metres, so that no two distances tie by rounding."""
+    rng = random.Random(seed)
+    return [(max(-90.0, min(90.0, a + rng.uniform(-1e-4, 1e-4))), b + rng.uniform(-1e-4, 1e-4)) for a, b in points]
+
+
+@pytest.mark.parametrize(("n", "leaf"), [(1, 64), (5, 4), (20, 1), (300, 8)])
+def test_nearest_join_equals_brute_force(spark, n, leaf):
+    centres, stations = globe(40, 6), apart(globe(150, 7), 8)
+    _, rows = nearest_rows(spark, centres, stations, n, leaf=leaf, min_slice=5)
+    assert len(rows) == len(set(rows)) and set(rows) == brute_nearest(centres, stations, n)
+
+
+def test_nearest_join_within_a_radius(spark):
+    centres, stations = globe(30, 9), apart(globe(150, 10), 11)
+    _, rows = nearest_rows(spark, centres, stations, 4, radius_m=900_000.0, leaf=3)
+    assert set(rows) == brute_nearest(centres, stations, 4, 900_000) and len(rows) < 4 * len(centres)
+
+
+def test_nearest_join_of_a_city_dense_on_both_sides(spark):
+    """Thousands of centres and stations in one place: centres x n rows, and few stations measured per centre."""
+    rng = random.Random(12)
+    stations = [(45 + rng.gauss(0, 0.02), 5 + rng.gauss(0, 0.02)) for _ in range(3000)] + [(45.0, 5.0)] * 500
+    centres = [(45 + rng.gauss(0, 0.02), 5 + rng.gauss(0, 0.02)) for _ in range(2000)] + [(45.0, 5.0)] * 700 + [(46.5, 5.0)] * 300
+    found, rows = nearest_rows(spark, centres, stations, 3, leaf=16, min_slice=50)
+    assert len(rows) == 3 * len(centres) == len(set(rows))
+    picked = rng.sample(range(2000), 40) + [2000, 2699, 2700]
+    expected = brute_nearest([centres[i] for i in picked], stations, 3)
+    mine = {(picked.index(c), rank, e) for c, rank, e in rows if c in picked}
+    assert mine == expected
+    found.collect()
+    most = max(rows_of_plan(found._jdf.queryExecution().executedPlan()))
+    assert most < 50 * len(centres) < len(centres) * len(stations) / 50
+
+
+def rows_of_plan(node):
+    """Rows that each operator of an executed plan put out."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return rows_of_plan(node.executedPlan())
+    found = []
+    if node.metrics().contains("numOutputRows"):
+        found.append(node.metrics().apply("numOutputRows").value())
+    if hasattr(node, "plan") and name.endswith("QueryStageExec"):
+        return found + rows_of_plan(node.plan())
+    children = node.children()
+    for i in range(children.size()):
+        found += rows_of_plan(children.apply(i))
+    return found
+
+
+def test_nearest_join_without_rows_and_locations(spark):
+    left, right = tables(spark, [(45.0, 5.0), (None, 5.0)], [(45.1, 5.0), (45.0, None), (float("nan"), 1.0)])
+    assert [(r.code, r.entity) for r in nearest_join(left, right, 3).collect()] == [(0, "0")]
+    assert nearest_join(left.where("false"), right, 3).count() == 0
+    assert nearest_join(left, right.where("false"), 3).count() == 0
+    again = nearest_join(left.unionAll(left), right, 3)
+    assert [(r.code, r.rank) for r in again.collect()] == [(0, 1), (0, 1)]
+
+
 def test_distances_at_46_north(spark):
     """T8: 0.13 degrees east and 0.09 degrees north are both about 10 km."""
     points = spark.createDataFrame([(46.0, 2.13), (46.09, 2.0)], "lat double, lon double")

@@ -374,4 +374,10 @@ SELECT entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM near WHERE d
 pairs AS (SELECT c.s_suppkey AS code, s.entity, s.product,
     {distance('c.latitude', 'c.longitude', 's.latitude', 's.longitude')} AS d FROM communes c, stations s)
 SELECT code, entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM pairs WHERE d <= 50000""",
+    "nearest_join": f"""WITH {STATIONS},
+pairs AS (SELECT c.s_suppkey AS code, s.entity, s.product,
+    {distance('c.latitude', 'c.longitude', 's.latitude', 's.longitude')} AS d FROM communes c, stations s),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY code ORDER BY CAST(round(d * 1000) AS BIGINT), entity, product) AS INTEGER) AS rank
+    FROM pairs WHERE d <= 50000)
+SELECT code, rank, entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM ranked WHERE rank <= 5""",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tideline import functions as fn
 from tideline.operators import calendar as cal
-from tideline.operators import geo, intervals, metrics, readings as rd, series, state
+from tideline.operators import geo, intervals, metrics, nearest, readings as rd, series, state
 from tideline.plans import comparator, forecast, model, panel as pl
 from tideline.session import fresh_path, settle
 from tideline.sources import readers, writers
@@ -579,3 +579,10 @@ def radius_join(spark, sf_dir):
     centres = st.table(spark, sf_dir, "supplier").selectExpr("s_suppkey as code", *st.place("s_suppkey")[:2])
     pairs = geo.radius_join(centres, stations(spark, sf_dir), RADIUS_M)
     return pairs.select("code", "entity", "product", F.rint("distance_m").cast("bigint").alias("distance_m"))
+
+
+@query
+def nearest_join(spark, sf_dir):
+    centres = st.table(spark, sf_dir, "supplier").selectExpr("s_suppkey as code", *st.place("s_suppkey")[:2])
+    found = nearest.nearest_join(centres, stations(spark, sf_dir), 5, radius_m=RADIUS_M)
+    return found.select("code", "rank", "entity", "product", F.rint("distance_m").cast("bigint").alias("distance_m"))
