@@ -12,9 +12,10 @@ from helpers import d, empty_days, plain_calendar, reading, readings
 from tideline.operators.calendar import daily_calendar
 from tideline.operators.state import feed_to_state
 from tideline.plans.forecast import run_day
-from tideline.schema import STATE_SCHEMA
+from tideline.schema import READING_SCHEMA, STATE_SCHEMA
+from tideline.sources.commits import publish_run, read_archive, read_snapshot
 from tideline.sources.writers import read_state, write_state
-from tideline.streaming.feed import start_state, stream_feed
+from tideline.streaming.feed import last_believed_day, start_state, stream_feed, version_of
 
 FEEDS = {
     "2024-03-01": [reading("s", "2024-03-01 06:00:00", 1.5), reading("t", "2024-02-20 06:00:00", 1.9)],
@@ -53,6 +54,55 @@ def test_three_days_with_a_repeat(spark, tmp_path):
     assert days == {"2024-03-01", "2024-03-02", "2024-03-03"}
 
 
+def landed(spark, landing, feeds):
+    """Each feed as one file, oldest first."""
+    for i, rows in enumerate(feeds):
+        readings(spark, rows).coalesce(1).write.mode("append").parquet(landing)
+        for name in os.listdir(landing):
+            if name.endswith(".parquet") and not os.path.exists(f"{landing}/.{name}.seen"):
+                os.utime(f"{landing}/{name}", (time.time() - 1000 + 100 * i,) * 2)
+                open(f"{landing}/.{name}.seen", "w").close()
+
+
+@pytest.mark.parametrize("files", [1, 2, 3])
+def test_archive_does_not_depend_on_files_per_run(spark, tmp_path, files):
+    root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
+    start_state(spark, root, spark.createDataFrame([], STATE_SCHEMA))
+    late = reading("s", "2024-02-01 06:00:00", 1.2)
+    landed(spark, landing, [*list(FEEDS.values())[:2], [*FEEDS["2024-03-03"], late]])
+    query = stream_feed(spark, landing, root, calendar=lambda day: calendar(spark, day), scorer=scorer, files_per_run=files)
+    query.awaitTermination(300)
+    assert query.exception() is None
+    archive = spark.read.parquet(f"{root}/archive").select("entity", "day", "price", "predicted_price")
+    assert sorted((r.entity, str(r.day), r.price, r.predicted_price) for r in archive.collect()) == [
+        ("s", "2024-03-01", 1.5, 1.503), ("s", "2024-03-02", 1.6, 1.603), ("s", "2024-03-03", 1.6, 1.603),
+        ("t", "2024-03-01", 1.9, 1.903), ("t", "2024-03-02", 1.9, 1.903), ("t", "2024-03-03", 1.8, 1.803),
+    ]
+    assert snapshot(spark, root) == EXPECTED
+    found = spark.read.schema(READING_SCHEMA).parquet(f"{root}/late").collect()
+    assert [(r.entity, r.price) for r in found] == [("s", 1.2)]
+
+
+def test_a_replay_on_another_day_believes_the_same(spark, tmp_path):
+    root = str(tmp_path)
+    first = last_believed_day(spark, root, version_of(7), lambda: d("2024-03-01"))
+    again = last_believed_day(spark, root, version_of(7), lambda: d("2024-03-02"))
+    later = last_believed_day(spark, root, version_of(8), lambda: d("2024-03-02"))
+    assert (str(first), str(again), str(later)) == ("2024-03-01", "2024-03-01", "2024-03-02")
+
+
+def test_stream_published_by_commit(spark, tmp_path):
+    root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
+    start_state(spark, root, spark.createDataFrame([], STATE_SCHEMA))
+    landed(spark, landing, FEEDS.values())
+    stream_feed(
+        spark, landing, root, calendar=lambda day: calendar(spark, day), scorer=scorer, files_per_run=2, publish=publish_run
+    ).awaitTermination(300)
+    shown = read_snapshot(spark, root, "entity string, day date, price double, predicted_price double").collect()
+    assert {r.entity: (str(r.day), r.price, r.predicted_price) for r in shown} == EXPECTED
+    assert read_archive(spark, root, "day date").distinct().count() == 3
+
+
 def test_stream_gives_the_same(spark, tmp_path):
     root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
     start_state(spark, root, spark.createDataFrame([], STATE_SCHEMA))

@@ -126,6 +126,15 @@ def test_publishing_again_changes_nothing(spark, tmp_path):
     assert (tmp_path / "archive" / "day=2025-01-03").is_dir()
 
 
+def test_an_empty_day_replaces_its_partition(spark, tmp_path):
+    root = str(tmp_path)
+    writers.publish_snapshot(predictions(spark, "2025-01-02", 1.5), root, "2025-01-02")
+    writers.publish_snapshot(predictions(spark, "2025-01-03", 1.6), root, "2025-01-03")
+    writers.publish_snapshot(predictions(spark, "2025-01-03", 1.6).where("false"), root, "2025-01-03")
+    archive = spark.read.parquet(f"{root}/archive")
+    assert [(str(r.day), r.price) for r in archive.collect()] == [("2025-01-02", 1.5)]
+
+
 def state(spark, day, price):
     rows = [reading("s", f"{day} 09:00:00", price)]
     return feed_to_state(readings_table(spark, rows))
@@ -146,3 +155,5 @@ def test_state_versions(spark, tmp_path):
 def test_zstd(spark, tmp_path):
     writers.write_table(predictions(spark, "2025-01-02", 1.5), str(tmp_path / "t"))
     assert list((tmp_path / "t").glob("*.zstd.parquet"))
+    writers.write_table(predictions(spark, "2025-01-02", 1.5), str(tmp_path / "s"), codec="snappy")
+    assert list((tmp_path / "s").glob("*.snappy.parquet"))

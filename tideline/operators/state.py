@@ -51,3 +51,12 @@ def roll_state(
         .where((F.col("day") >= cutoff) | F.col("_next").isNull() | (F.col("_next") >= cutoff))
         .drop("_next")
     )
+
+
+def late_readings(state: DataFrame, feed: DataFrame, *, key: Sequence[str] = KEY) -> DataFrame:
+    """Readings of the feed (with ``observed_at``) from days before all that the state still holds of their key.
+
+    They came too late for any later step: rolling drops them again. A key the state does not know has none.
+    """
+    oldest = state.groupBy(*key).agg(F.min("day").alias("_oldest"))
+    return feed.join(oldest, list(key)).where(F.to_date("observed_at") < F.col("_oldest")).select(*feed.columns)

@@ -14,9 +14,12 @@ from tideline.operators.state import feed_to_state, roll_state, union_state
 from tideline.plans.panel import count_peer_groups, feature_panel
 from tideline.schema import PREDICTION_COLUMNS
 from tideline.session import settle
+from tideline.sources.commits import publish_run
+from tideline.sources.state_store import StateVersion, by_day, write_store
 from tideline.sources.writers import publish_snapshot, write_state
 
 Scorer = Callable[[DataFrame], DataFrame]
+Publisher = Callable[[DataFrame, str, date | str], None]
 
 
 def column_scorer(expression: Column) -> Scorer:
@@ -91,11 +94,12 @@ def run_day(
     scale: int = 1000,
     low: float = LOW,
     high: float = HIGH,
+    publish: Publisher = publish_snapshot,
 ) -> None:
     """One daily run: merge, forecast, publish, roll.
 
     Readings without a time, outside the price bounds or after ``as_of`` take no part. A run for a day before that of
-    the snapshot adds to the archive only.
+    the snapshot adds to the archive only. ``publish`` takes (predictions, root, as_of).
 
     The merged state feeds several steps and is written once. The new state is written last and under its own version:
     a run that broke off can be repeated as a whole and leaves the same files.
@@ -105,5 +109,32 @@ def run_day(
     )
     groups = count_peer_groups(with_area(merged))
     forecast = daily_forecast(merged, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups)
-    publish_snapshot(forecast, root, as_of)
+    publish(forecast, root, as_of)
     write_state(roll_state(merged, as_of), root, version or str(as_of))
+
+
+def run_day_on_store(
+    base: StateVersion,
+    feed: DataFrame,
+    calendar: DataFrame,
+    scorer: Scorer,
+    *,
+    root: str,
+    as_of: date | str,
+    version: str | None = None,
+    tie_break: Sequence[str] = (),
+    scale: int = 1000,
+    low: float = LOW,
+    high: float = HIGH,
+) -> StateVersion:
+    """:func:`run_day` on a bucketed state, published by commit; gives the version it wrote.
+
+    The feed is shuffled to the state's buckets and the state stays where it is; of the new version only the buckets that
+    changed are written. Readers meet the former predictions until the new ones are whole.
+    """
+    kept = plausible(feed, low, high).where(F.to_date("observed_at") <= F.lit(str(as_of)).cast("date"))
+    merged = settle(base.merged(feed_to_state(kept, tie_break=tie_break), as_of), "merged")
+    rows = by_day(merged, "merged")
+    groups = count_peer_groups(with_area(rows))
+    publish_run(daily_forecast(rows, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups), root, as_of)
+    return write_store(base, merged, root, version or str(as_of))

@@ -15,27 +15,24 @@ from tideline.schema import STATE_COLUMNS, STATE_SCHEMA
 VERSIONED_STATE = T.StructType([*STATE_SCHEMA.fields, T.StructField("version", T.StringType())])
 
 
-def write_table(table: DataFrame, path: str, *, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
-    """Parquet with ZSTD."""
-    writer = table.write.mode(mode).option("compression", "zstd")
+def write_table(
+    table: DataFrame, path: str, *, mode: str = "errorifexists", partition_by: tuple[str, ...] = (), codec: str = "zstd"
+) -> None:
+    """Parquet; ZSTD unless another codec is asked for."""
+    writer = table.write.mode(mode).option("compression", codec)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def publish_snapshot(predictions: DataFrame, root: str, as_of: date | str) -> None:
     """Add the day's predictions to the archive, then make them the snapshot.
 
-    ``archive/day=YYYY-MM-DD`` is replaced as a whole partition, so a repeated run leaves the same files. The snapshot is
-    copied from the archived files: the plan runs once, and both hold the same rows. A day before the snapshot's goes to
-    the archive alone: the snapshot never turns back.
+    ``archive/day=YYYY-MM-DD`` is replaced as a whole partition, also by a run without rows, so a repeated run leaves the same
+    files; ``predictions`` are those of ``as_of`` alone. The snapshot is copied from the archived files: the plan runs
+    once, and both hold the same rows. A day before the snapshot's goes to the archive alone: the snapshot never turns
+    back. Both are replaced in place; :func:`tideline.sources.commits.publish_run` leaves readers a whole table at all times.
     """
     spark = predictions.sparkSession
-    (
-        predictions.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy("day")
-        .parquet(f"{root}/archive")
-    )
+    write_table(predictions.drop("day"), f"{root}/archive/day={date.fromisoformat(str(as_of))}", mode="overwrite")
     shown = snapshot_day(spark, root)
     if shown is not None and shown > date.fromisoformat(str(as_of)):
         return

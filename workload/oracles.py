@@ -255,8 +255,16 @@ SELECT product, CAST(unnest(range(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM
     "rolling_state": f"""WITH {MERGED},
 m AS (SELECT *, lead(day) OVER (PARTITION BY entity, product ORDER BY day) AS next_day FROM merged)
 SELECT * EXCLUDE (next_day) FROM m WHERE day >= DATE '2024-01-11' OR next_day IS NULL OR next_day >= DATE '2024-01-11'""",
+    "bucketed_state": f"""WITH {MERGED},
+m AS (SELECT *, lead(day) OVER (PARTITION BY entity, product ORDER BY day) AS next_day FROM merged)
+SELECT * EXCLUDE (next_day) FROM m WHERE day >= DATE '2024-01-11' OR next_day IS NULL OR next_day >= DATE '2024-01-11'""",
+    "late_readings": f"""WITH {MERGED},
+newest AS (SELECT entity, product, max(day) AS last_day FROM old_state GROUP BY ALL)
+SELECT product, count(*) AS n_rows, CAST(sum(CAST(round_even(price * 100, 0) AS BIGINT)) AS BIGINT) AS cents
+FROM readings JOIN newest USING (entity, product) WHERE day < last_day GROUP BY product""",
     "daily_forecast": _forecast_sql(),
     "publish_snapshot": _forecast_sql(),
+    "publish_run": _forecast_sql(),
     "typed_casts": """SELECT event_id, CAST(ts AS DATE) AS day, CAST(value AS FLOAT) AS value_float,
   CAST(floor(value) AS INTEGER) AS value_int, CAST(user_id % 100 AS TINYINT) AS user_tiny,
   TRY_CAST(regexp_extract(props, '[0-9]+') AS SMALLINT) AS prop_small,

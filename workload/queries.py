@@ -13,13 +13,14 @@ from tideline.operators import calendar as cal
 from tideline.operators import geo, intervals, metrics, nearest, readings as rd, series, state
 from tideline.plans import comparator, forecast, model, panel as pl
 from tideline.session import fresh_path, settle
-from tideline.sources import readers, writers
+from tideline.sources import commits, readers, state_store, writers
 from workload import standins as st
 
 AS_OF = "2024-01-25"
 STATE_AS_OF = "2024-01-24"
 SEGMENTS = (5.0, 50.0, 150.0)  # the stand-in's prices move by tens, not cents
 RADIUS_M = 50_000.0
+STATE_BUCKETS = 8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -245,6 +246,36 @@ def publish_snapshot(spark, sf_dir):
     return spark.read.schema(predictions.schema).parquet(f"{root}/latest")
 
 
+@query
+def bucketed_state(spark, sf_dir):
+    """The rolling state by way of a bucketed store: start, merge the feed, write the next version, read it back."""
+    root = fresh_path(spark, "state-store")
+    base = state_store.start_store(spark, root, "a", old_state(spark, sf_dir), STATE_BUCKETS)
+    kept = rd.plausible(feed(spark, sf_dir), st.LOW, st.HIGH).where(F.to_date("observed_at") <= F.lit(AS_OF).cast("date"))
+    merged = base.merged(state.feed_to_state(kept, tie_break=st.TIE), AS_OF)
+    state_store.write_store(base, merged, root, "b")
+    return state_store.read_store(spark, root).rows()
+
+
+@query
+def publish_run(spark, sf_dir):
+    """Two runs of one day by commit, the first without rows: readers see the second."""
+    root = fresh_path(spark, "publish-run")
+    predictions = _forecast(spark, sf_dir)
+    commits.publish_run(predictions.where("false"), root, AS_OF)
+    commits.publish_run(predictions, root, AS_OF)
+    return commits.read_snapshot(spark, root, predictions.schema)
+
+
+@query
+def late_readings(spark, sf_dir):
+    """Readings older than the last state day of each key, if that was all the state held."""
+    held = old_state(spark, sf_dir)
+    newest = held.groupBy("entity", "product").agg(F.max("day").alias("day"))
+    found = state.late_readings(newest, st.readings(spark, sf_dir))
+    return found.groupBy("product").agg(F.count("*").alias("n_rows"), F.sum(fn.units(F.col("price"), 100)).alias("cents"))
+
+
 # --- projections and predicates ------------------------------------------------------------------------------------
 
 
