@@ -55,6 +55,32 @@ def test_panel_reads_only_needed_columns(spark):
     assert "PushedFilters: [IsNotNull(value)" in plan
 
 
+def test_daily_reduction_sorts_no_readings(spark):
+    """Hash aggregation on both sides of the shuffle."""
+    plan = final_plan(st.daily(spark, SF_DIR))
+    assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_packed_order_equals_the_order_of_structs(spark):
+    from pyspark.sql import functions as F
+
+    from tideline.operators.readings import last_per_day
+
+    rows = spark.range(4000).selectExpr(
+        "cast(id % 7 as string) as entity", "cast(id % 2 as string) as product",
+        "if(id % 97 = 0, null, timestampadd(MICROSECOND, pmod(xxhash64(id), 40) * 21600000001, timestamp_ntz'2024-03-30 21:00:00')) as observed_at",
+        "if(id % 41 = 0, null, if(id % 2 = 0, 1L, -1L) * (9223372036854775807 - id)) as reading_id", "double(id) as price",
+    )
+    plain = rows.groupBy("entity", "product", F.to_date("observed_at").alias("day")).agg(
+        F.max(F.struct("observed_at", "reading_id")).alias("best")
+    )
+    found = last_per_day(rows, keep=("price",), tie_break=("reading_id",), unique_tie=True)
+    met = found.join(rows.select("price", "observed_at", "reading_id"), "price").select(
+        "entity", "product", "day", F.struct("observed_at", "reading_id").alias("best")
+    )
+    assert met.exceptAll(plain).count() == 0 == plain.exceptAll(met).count()
+
+
 def test_daily_reduction_is_combined_before_the_shuffle(spark):
     plan = final_plan(st.daily(spark, SF_DIR))
     assert "partial_max" in plan.split("Exchange hashpartitioning")[1]

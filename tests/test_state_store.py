@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from datetime import date, timedelta
 
@@ -192,3 +193,30 @@ def test_late_readings(spark):
     state = in_layout(spark, [reading("s", "2024-01-10 08:00:00", 1.5), reading("s", "2024-01-20 08:00:00", 1.6)])
     feed = [reading("s", "2024-01-09 08:00:00", 1.1), reading("s", "2024-01-10 08:00:00", 1.5), reading("new", "2020-01-01 08:00:00", 1.2)]
     assert [(r.entity, r.price) for r in late_readings(state, readings(spark, feed)).collect()] == [("s", 1.1)]
+
+
+def test_scratch_is_cleaned(spark, tmp_path):
+    from tideline.session import fresh_path, scratch, settle
+
+    shared = os.listdir(spark.conf.get("spark.checkpoint.dir"))
+    table = spark.range(5).selectExpr("cast(id as string) as entity")
+    with scratch(spark):
+        outer = settle(table, "outer")
+        with pytest.raises(ZeroDivisionError), scratch(spark):
+            settle(table, "inner").write.parquet(fresh_path(spark, "more"))
+            raise ZeroDivisionError
+        assert outer.count() == 5  # an inner scope removes its own folders only
+        fresh_path(spark, "never-made")
+    assert os.listdir(spark.conf.get("spark.checkpoint.dir")) == shared
+    kept = settle(table, "kept")
+    assert kept.count() == 5 and len(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == len(shared) + 1
+
+
+def test_a_day_leaves_no_scratch(spark, tmp_path):
+    shared = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    version = store.start_store(spark, str(tmp_path), "a", spark.createDataFrame([], STATE_SCHEMA), 4)
+    run_day_on_store(
+        version, readings(spark, [reading("s", "2024-03-01 06:00:00", 1.5)]), plain_calendar(spark, "2024-03-01", "2024-03-01"),
+        lambda panel: panel.withColumn("raw_delta", F.lit(0.003)), root=str(tmp_path), as_of="2024-03-01",
+    )
+    assert set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == shared

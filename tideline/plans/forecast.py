@@ -13,7 +13,7 @@ from tideline.operators.readings import HIGH, LOW, plausible, with_area
 from tideline.operators.state import feed_to_state, roll_state, union_state
 from tideline.plans.panel import count_peer_groups, feature_panel
 from tideline.schema import PREDICTION_COLUMNS
-from tideline.session import settle
+from tideline.session import scratch, settle
 from tideline.sources.commits import publish_run
 from tideline.sources.state_store import StateVersion, by_day, write_store
 from tideline.sources.writers import publish_snapshot, write_state
@@ -104,13 +104,14 @@ def run_day(
     The merged state feeds several steps and is written once. The new state is written last and under its own version:
     a run that broke off can be repeated as a whole and leaves the same files.
     """
-    merged = settle(
-        merged_state(state, feed, low=low, high=high, not_after=as_of, tie_break=tie_break), "merged"
-    )
-    groups = count_peer_groups(with_area(merged))
-    forecast = daily_forecast(merged, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups)
-    publish(forecast, root, as_of)
-    write_state(roll_state(merged, as_of), root, version or str(as_of))
+    with scratch(feed.sparkSession):
+        merged = settle(
+            merged_state(state, feed, low=low, high=high, not_after=as_of, tie_break=tie_break), "merged"
+        )
+        groups = count_peer_groups(with_area(merged))
+        forecast = daily_forecast(merged, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups)
+        publish(forecast, root, as_of)
+        write_state(roll_state(merged, as_of), root, version or str(as_of))
 
 
 def run_day_on_store(
@@ -133,8 +134,9 @@ def run_day_on_store(
     changed are written. Readers meet the former predictions until the new ones are whole.
     """
     kept = plausible(feed, low, high).where(F.to_date("observed_at") <= F.lit(str(as_of)).cast("date"))
-    merged = settle(base.merged(feed_to_state(kept, tie_break=tie_break), as_of), "merged")
-    rows = by_day(merged, "merged")
-    groups = count_peer_groups(with_area(rows))
-    publish_run(daily_forecast(rows, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups), root, as_of)
-    return write_store(base, merged, root, version or str(as_of))
+    with scratch(feed.sparkSession):
+        merged = settle(base.merged(feed_to_state(kept, tie_break=tie_break), as_of), "merged")
+        rows = by_day(merged, "merged")
+        groups = count_peer_groups(with_area(rows))
+        publish_run(daily_forecast(rows, calendar, scorer, as_of=as_of, scale=scale, peer_groups=groups), root, as_of)
+        return write_store(base, merged, root, version or str(as_of))

@@ -112,12 +112,13 @@ def training_panel(
     start: date | str,
     end: date | str,
     tie_break: Sequence[str] = (),
+    unique_tie: bool = False,
     scale: int = 1000,
     peer_groups: int | None = None,
     **options,
 ) -> DataFrame:
     """Readings to panel: last reading per day, entity attributes, features."""
-    daily = last_per_day(readings, tie_break=tie_break)
+    daily = last_per_day(readings, tie_break=tie_break, unique_tie=unique_tie)
     entities = with_area(entity_span(readings))
     return feature_panel(
         daily, entities, calendar, start=start, end=end, scale=scale, peer_groups=peer_groups, **options

@@ -6,6 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,16 +69,48 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, never used folder under the shared one."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, never used folder under the shared one; removed with the scope (:func:`scratch`) it is made in, if any."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    owned = _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark knows; a missing one is no error."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Own the folders that are made within: they are removed at the end, also after a failure.
+
+    For work that ends with its outputs written. A table settled within, or made from one, can't be read afterwards, so
+    functions that return such tables leave the scope to their caller. Scopes may be nested; each owns what is made in it.
+    """
+    owned: list[str] = []
+    token = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in owned:
+            remove_folder(spark, path)
 
 
 def settle(table: DataFrame, label: str) -> DataFrame:
     """Compute a table once for several uses: write it to the shared folder and read it back.
 
     The copy outlives lost executors, cuts the lineage, and each use reads only the columns it needs. It stays until the
-    shared folder is cleaned: results that were not computed yet may still read it.
+    end of the scope (:func:`scratch`) it was made in, or, outside of one, until the shared folder is cleaned: results that
+    were not computed yet may still read it.
     """
     path = fresh_path(table.sparkSession, label)
     table.write.option("compression", "zstd").parquet(path)

@@ -37,7 +37,7 @@ def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = pl.count_peer_groups(st.area_names(spark, sf_dir, "events", "user_id", "event_type"))
     return pl.training_panel(
         st.readings(spark, sf_dir), st.calendar(spark, sf_dir),
-        start=st.START, end=st.END, tie_break=st.TIE, scale=st.SCALE, peer_groups=groups,
+        start=st.START, end=st.END, tie_break=st.TIE, unique_tie=True, scale=st.SCALE, peer_groups=groups,
     )
 
 

@@ -66,7 +66,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return last_per_day(readings(spark, sf_dir), tie_break=TIE)
+    return last_per_day(readings(spark, sf_dir), tie_break=TIE, unique_tie=True)
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
