@@ -75,3 +75,24 @@ def test_settings():
     stage = md.build_pipeline().getStages()[-1]
     assert (stage.getMaxIter(), stage.getStepSize(), stage.getMaxDepth()) == (131, 0.03, 6)
     assert (stage.getMinInstancesPerNode(), stage.getFeatureSubsetStrategy(), stage.getSeed()) == (50, "0.8", 42)
+
+
+def test_days_held_out_pick_the_number_of_trees(spark, learnable):
+    """As many trees as help on days that go on alike, few if those days go the other way."""
+    train, valid = learnable.where("day < '2024-04-08'"), learnable.where("day >= '2024-04-08'")
+    late = F.col("day") >= "2024-04-01"
+    other_way = train.withColumn("price", F.when(late, 2 * F.col("prev_price") - F.col("price")).otherwise(F.col("price")))
+    settings = {"validate_from": "2024-04-01", "rate": 0.3, "depth": 4, "trees": 20}
+    fitted, reports = md.train_and_evaluate(train, valid, **settings)
+    misled, _ = md.train_and_evaluate(other_way, valid, **settings)
+    assert 0 < misled.stages[-1].getNumTrees < fitted.stages[-1].getNumTrees <= 20
+    error = reports["errors"].first()
+    assert error.model_mae < 0.5 * error.naive_mae
+
+
+def test_held_out_rows_grow_no_trees(spark, learnable):
+    train = learnable.where("day < '2024-03-01'").select("entity", "product", "day", "price", *md.FEATURES_OF_PANEL)
+    moved = train.withColumn("price", F.when(F.col("day") >= "2024-02-20", F.col("price") + 1).otherwise(F.col("price")))
+    models = [md.fit_price_change(t, validate_from="2024-02-20", trees=1, depth=3) for t in (train, moved)]
+    first, second = (m.stages[-1].toDebugString.split("\n", 1)[1] for m in models)
+    assert first == second

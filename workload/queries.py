@@ -556,13 +556,18 @@ def classification_report(spark, sf_dir):
     return metrics.classification_report(scored(spark, sf_dir))
 
 
-@query
-def train_evaluate(spark, sf_dir):
-    """Fit on the first weeks of the event panel and report on the rest: what must hold whatever the trees say."""
+def _trained(spark, sf_dir):
+    """Fit on the first weeks of the event panel with the production settings: model, reports and the other weeks."""
     panel = settle(event_panel(spark, sf_dir), "panel")
     parts = pl.with_split(panel, train=(st.START, "2024-01-20"), valid_from="2024-01-21")
     valid = parts.where("part = 'valid'")
-    fitted, reports = model.train_and_evaluate(parts.where("part = 'train'"), valid, trees=10, rate=0.1)
+    return *model.train_and_evaluate(parts.where("part = 'train'"), valid), valid
+
+
+@query
+def train_evaluate(spark, sf_dir):
+    """What must hold of the reports whatever the trees say, and of the scores of the saved and reloaded model."""
+    fitted, reports, valid = _trained(spark, sf_dir)
     path = fresh_path(spark, "model")
     model.save_model(fitted, path)
     once = model.score(fitted, valid).withColumnRenamed("raw_delta", "first_delta")
@@ -581,6 +586,23 @@ def train_evaluate(spark, sf_dir):
     return typed[0].unionByName(typed[1]).unionByName(typed[2]).unionByName(typed[3])
 
 
+@query
+def train_reports(spark, sf_dir):
+    """The reports of the same fit, one row per figure: errors, segments, confusion and classes."""
+    _, reports, _ = _trained(spark, sf_dir)
+
+    def told(name):
+        report = reports[name]
+        texts = [c for c, kind in report.dtypes if kind == "string"]
+        numbers = [c for c in report.columns if c not in texts]
+        row = F.concat_ws(" ", *texts) if texts else F.lit("")
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).cast("double").alias("value")) for c in numbers]))
+        return report.select(F.lit(name).alias("report"), row.alias("row"), pairs.alias("p")).select("report", "row", "p.figure", "p.value")
+
+    found = [told(name) for name in ("errors", "segments", "confusion", "confusion_pct", "classes")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3]).unionByName(found[4])
+
+
 # --- locations -----------------------------------------------------------------------------------------------------
 
 
