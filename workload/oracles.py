@@ -37,17 +37,28 @@ entities AS (
     USING (entity, product))"""
 
 
+FIRST_DAY = "(SELECT min(CAST(ts AS DATE)) FROM events)"
+LAST_DAY = "(SELECT max(CAST(ts AS DATE)) FROM events)"
+LONG_FIRST = "(SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)"
+LONG_LAST = "(SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"
+
+
+def as_day(day: str) -> str:
+    """SQL of a day: an expression in brackets as it is, else a literal."""
+    return day if day.startswith("(") else f"DATE '{day}'"
+
+
 def days(name: str, first: str, stop: str) -> str:
-    return f"{name} AS (SELECT CAST(range AS DATE) AS day FROM range(DATE '{first}', DATE '{stop}', INTERVAL 1 DAY))"
+    return f"{name} AS (SELECT CAST(unnest(range({as_day(first)}, {as_day(stop)}, INTERVAL 1 DAY)) AS DATE) AS day)"
 
 
 def each_day(
-    first: str = "2024-01-01", stop: str = "2024-01-31", *, source: str = "daily", spans: str = "entities", last: str = "last_day"
+    first: str = FIRST_DAY, stop: str = f"({LAST_DAY} + 1)", *, source: str = "daily", spans: str = "entities", last: str = "last_day"
 ) -> str:
     """Every key on every day of its span: the price known on that day and the one known the day before."""
     return f"""key_days AS (
-  SELECT entity, product, area, first_day, CAST(unnest(range(greatest(first_day, DATE '{first}'),
-    least({last} + 1, DATE '{stop}'), INTERVAL 1 DAY)) AS DATE) AS day FROM {spans}),
+  SELECT entity, product, area, first_day, CAST(unnest(range(greatest(first_day, {as_day(first)}),
+    least({last} + 1, {as_day(stop)}), INTERVAL 1 DAY)) AS DATE) AS day FROM {spans}),
 each_day AS (
   SELECT k.*, d.price, p.price AS prev_price, CAST(coalesce(d.price <> p.price, FALSE) AS INTEGER) AS changed
   FROM key_days k
@@ -77,8 +88,8 @@ quote_past AS (
   LEFT JOIN quoted a ON a.day = q.day - 1 LEFT JOIN quoted b ON b.day = q.day - 3 LEFT JOIN quoted c ON c.day = q.day - 7),
 free_days AS (
   SELECT day, day IN (SELECT day FROM holidays) AS is_holiday,
-    CASE WHEN day < DATE '{stop}' - 1 THEN day + 1 IN (SELECT day FROM holidays) END AS before_holiday,
-    CASE WHEN day > DATE '{first}' THEN day - 1 IN (SELECT day FROM holidays) END AS after_holiday
+    CASE WHEN day < {as_day(stop)} - 1 THEN day + 1 IN (SELECT day FROM holidays) END AS before_holiday,
+    CASE WHEN day > {as_day(first)} THEN day - 1 IN (SELECT day FROM holidays) END AS after_holiday
   FROM cal_days),
 school AS (
   SELECT day, day(day) BETWEEN 10 AND 20 AND day IN (SELECT day FROM observed) AS break_zone_a,
@@ -115,7 +126,7 @@ PANEL = """panel AS (
     f.days_unchanged, f.peer_gap, f.rolling_gap
   FROM features f JOIN entities e USING (entity, product) LEFT JOIN calendar c ON f.day = c.day)"""
 
-EVENT_CALENDAR = calendar("2023-12-20", "2024-02-01")
+EVENT_CALENDAR = calendar(f"({FIRST_DAY} - 12)", f"({LAST_DAY} + 2)")
 BASE = f"{READINGS},\n{daily()}"
 EACH_DAY = f"{BASE},\n{each_day()}"
 EVENT_PANEL = f"{EACH_DAY},\n{EVENT_CALENDAR},\n{FEATURES},\n{PANEL}"
@@ -236,10 +247,10 @@ FROM orders WHERE o_orderdate >= DATE '1996-01-01'""",
   CASE WHEN s_suppkey % 4 <> 0 THEN s_acctbal END AS latitude, CASE WHEN s_suppkey % 6 <> 0 THEN s_acctbal END AS longitude
 FROM supplier""",
     "train_evaluate": f"""WITH {SCORED},
-valid AS (SELECT * FROM labelled WHERE day >= DATE '2024-01-21'),
+valid AS (SELECT * FROM labelled WHERE day >= {LAST_DAY} - 9),
 sizes AS (SELECT t, (SELECT count(*) FROM valid WHERE actual = t) AS n FROM {LABELS} a(t)),
 errors AS (SELECT count(*) AS n, CAST(sum(naive) AS DOUBLE) / (count(*) * CAST(1000000 AS DOUBLE)) AS naive FROM micro
-  WHERE day >= DATE '2024-01-21')
+  WHERE day >= {LAST_DAY} - 9)
 SELECT 'support ' || t AS measure, CAST(n AS DOUBLE) AS value FROM sizes
 UNION ALL SELECT 'cells ' || t, n FROM sizes
 UNION ALL SELECT 'rows', n FROM errors UNION ALL SELECT 'naive error', naive FROM errors UNION ALL SELECT 'scores', n FROM errors
@@ -317,8 +328,8 @@ GROUP BY ALL""",
     "feature_panel": f"WITH {EVENT_PANEL} SELECT * FROM panel",
     "long_history": f"""WITH {LONG_READINGS},
 {daily(LONG_TIE)},
-{each_day('1995-01-01', '2002-01-01')},
-{calendar('1993-12-31', '2002-01-02', LONG_REF)},
+{each_day(LONG_FIRST, f"({LONG_LAST} + 1)")},
+{calendar(f"({LONG_FIRST} - 12)", f"({LONG_LAST} + 2)", LONG_REF)},
 {FEATURES},
 {PANEL}
 SELECT product, CAST(year(day) AS INTEGER) AS year, count(*) AS n_rows, CAST(sum(days_unchanged) AS BIGINT) AS days_unchanged,

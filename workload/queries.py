@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ STATE_AS_OF = "2024-01-24"
 SEGMENTS = (5.0, 50.0, 150.0)  # the stand-in's prices move by tens, not cents
 RADIUS_M = 50_000.0
 STATE_BUCKETS = 8
+VALID_DAYS = 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -35,9 +37,10 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
 def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = pl.count_peer_groups(st.area_names(spark, sf_dir, "events", "user_id", "event_type"))
+    start, end = st.span(spark, sf_dir)
     return pl.training_panel(
-        st.readings(spark, sf_dir), st.calendar(spark, sf_dir),
-        start=st.START, end=st.END, tie_break=st.TIE, unique_tie=True, scale=st.SCALE, peer_groups=groups,
+        st.readings(spark, sf_dir), st.calendar(spark, sf_dir, start, end),
+        start=start, end=end, tie_break=st.TIE, unique_tie=True, scale=st.SCALE, peer_groups=groups,
     )
 
 
@@ -53,8 +56,9 @@ def raw_delta():
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prices of the event panel with a predicted change from a fixed formula."""
     history = intervals.price_history(st.daily(spark, sf_dir), scale=st.SCALE)
+    start, end = st.span(spark, sf_dir)
     return (
-        pl.price_panel(history, start=st.START, end=st.END, scale=st.SCALE)
+        pl.price_panel(history, start=start, end=end, scale=st.SCALE)
         .select("entity", "product", "day", "price", "prev_price", "rolling_gap")
         .withColumn("raw_delta", raw_delta())
         .withColumn("delta", fn.dead_band(F.col("raw_delta")))
@@ -447,9 +451,10 @@ def feature_panel(spark, sf_dir):
 def long_history(spark, sf_dir):
     """The panel over seven years of line items, added up per product and year in whole units."""
     groups = pl.count_peer_groups(st.area_names(spark, sf_dir, "lineitem", "l_suppkey", "l_returnflag"))
+    start, end = st.span(spark, sf_dir, "lineitem", "l_shipdate")
     panel = pl.training_panel(
-        st.long_readings(spark, sf_dir), st.long_calendar(spark, sf_dir),
-        start=st.LONG_START, end=st.LONG_END, tie_break=st.LONG_TIE, scale=st.SCALE, peer_groups=groups,
+        st.long_readings(spark, sf_dir), st.long_calendar(spark, sf_dir, start, end),
+        start=start, end=end, tie_break=st.LONG_TIE, scale=st.SCALE, peer_groups=groups,
     )
 
     def cents(column):
@@ -557,9 +562,11 @@ def classification_report(spark, sf_dir):
 
 
 def _trained(spark, sf_dir):
-    """Fit on the first weeks of the event panel with the production settings: model, reports and the other weeks."""
+    """Fit on the event panel but its last ten days, with the production settings: model, reports and those days."""
     panel = settle(event_panel(spark, sf_dir), "panel")
-    parts = pl.with_split(panel, train=(st.START, "2024-01-20"), valid_from="2024-01-21")
+    start, end = st.span(spark, sf_dir)
+    valid_from = date.fromisoformat(end) - timedelta(VALID_DAYS - 1)
+    parts = pl.with_split(panel, train=(start, valid_from - timedelta(1)), valid_from=valid_from)
     valid = parts.where("part = 'valid'")
     return *model.train_and_evaluate(parts.where("part = 'train'"), valid), valid
 

@@ -11,9 +11,8 @@ SCALE = 100  # event and line-item values have two decimals
 LOW, HIGH = 0.5, 350.0
 TIE = ("reading_id",)
 
-START, END = "2024-01-01", "2024-01-30"
+START, END = "2024-01-01", "2024-01-30"  # the days of the given events
 LONG_TIE = ("l_orderkey", "l_linenumber", "l_partkey")
-LONG_START, LONG_END = "1995-01-01", "2001-12-31"
 
 
 # The tables the stand-ins use; a declared schema saves the job that reads file footers.
@@ -33,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def span(spark: SparkSession, sf_dir: str, name: str = "events", time: str = "ts") -> tuple[str, str]:
+    """First and last day of a table, from one aggregation of one column; an empty table has one day."""
+    days = table(spark, sf_dir, name).selectExpr(f"min(to_date({time})) as first", f"max(to_date({time})) as last").first()
+    return str(days.first or START), str(days.last or START)
+
+
 def place(key: str) -> list[str]:
     """Coordinates and postal code derived from a numeric key."""
     return [
@@ -104,7 +109,11 @@ def bare_calendar(spark: SparkSession) -> DataFrame:
     return calendar_range(spark, "2023-12-20", "2024-02-06")
 
 
-def calendar(spark: SparkSession, sf_dir: str, start: str = START, end: str = END) -> DataFrame:
+def calendar(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The calendar of the events' days, or of those asked for."""
+    if start is None or end is None:
+        first, last = span(spark, sf_dir)
+        start, end = start or first, end or last
     return daily_calendar(
         spark, start, end,
         ref=reference_price(spark, sf_dir), holidays=holidays(spark, sf_dir), breaks=breaks(spark, sf_dir),
@@ -124,11 +133,11 @@ def long_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def long_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+def long_calendar(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
     """Highest order total of each weekday as the reference price; 1st of January and 14th of July off."""
     orders = table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) as day", "o_totalprice as ref")
     return daily_calendar(
-        spark, LONG_START, LONG_END,
+        spark, start, end,
         ref=orders.where("weekday(day) < 5"),
         holidays=orders.where("date_format(day, 'MM-dd') in ('01-01', '07-14')"),
         breaks=orders.select("day").distinct().selectExpr("day", *_break_flags()),
