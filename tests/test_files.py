@@ -61,6 +61,48 @@ def test_station_xml_feed(spark, station_file):
     assert feed.where("product = 'E85'").count() == 0 and feed.count() == 3
 
 
+def checked(spark, tmp_path, files):
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    readings, quarantine = readers.read_station_xml_checked(spark, str(tmp_path / "*.xml"))
+    return (
+        sorted((r.entity, r.product, r.price, r.observed_at, r.city) for r in readings.collect()),
+        sorted((r.file, r.kind, r.entity, r.product) for r in quarantine.collect()),
+    )
+
+
+WHOLE = XML.encode("iso-8859-1")
+
+
+def test_checked_reader_gives_the_same_readings(spark, tmp_path, station_file):
+    plain = readers.read_station_xml(spark, station_file)
+    mine, quarantine = readers.read_station_xml_checked(spark, station_file, more={"_phone": "phone"})
+    assert sorted(map(repr, mine.drop("phone").collect())) == sorted(map(repr, plain.collect())) and quarantine.count() == 0
+    assert mine.schema.names[:-1] == plain.schema.names
+
+
+def test_broken_stations_cost_no_other(spark, tmp_path):
+    files = {
+        "cut.xml": WHOLE[: WHOLE.index(b"<ville>Ch") + 12],  # ends within the second station
+        "tag.xml": WHOLE.replace(b"<adresse>Aire d'Ao\xfbt</adresse>", b"<adresse>Aire</ville>"),
+        "end.xml": WHOLE.replace(b"</pdv>", b"", 1),  # the first station never ends
+        "text.xml": b"not xml at all",
+        "none.xml": b"",
+    }
+    readings, quarantine = checked(spark, tmp_path, files)
+    per_entity = [r[0] for r in readings]
+    assert per_entity == ["1"] * 4 + ["2"] + ["3"] * 2  # 1 in cut and tag (two prices), 2 in end, 3 in tag and end
+    assert [(f, k) for f, k, _, _ in quarantine] == [("cut.xml", "record"), ("end.xml", "record"), ("tag.xml", "record")]
+    assert {r[4] for r in readings if r[0] == "2"} == {"Ch\xe2teau"}
+
+
+def test_unreadable_values_are_listed(spark, tmp_path):
+    data = WHOLE.replace(b'valeur="1.789"', b'valeur="1,78x"').replace(b'maj="2025-01-03T09:30:00"', b'maj="gestern"')
+    readings, quarantine = checked(spark, tmp_path, {"a.xml": data.replace(b'id="3" cp', b"cp")})
+    assert [r[:3] for r in readings] == [("1", "E85", 0.859), ("2", "Gazole", 1.6)] and readings[1][3] is None
+    assert quarantine == [("a.xml", "entity", None, None), ("a.xml", "price", "1", "E10"), ("a.xml", "time", "2", "Gazole")]
+
+
 def test_holidays(spark, tmp_path):
     (tmp_path / "h.json").write_text('{"2031-01-01": "1er janvier",\n "2031-05-01": "1er mai"}', encoding="utf-8")
     found = readers.read_holidays_json(spark, str(tmp_path / "h.json")).orderBy("day").collect()

@@ -67,6 +67,77 @@ def read_station_xml(
     return readings.where("observed_at is not null") if require_time else readings
 
 
+QUARANTINE_COLUMNS = ("file", "kind", "entity", "product", "detail")
+
+
+def read_station_xml_checked(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    *,
+    row_tag: str = "pdv",
+    charset: str = "ISO-8859-1",
+    more: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Readings as :func:`read_station_xml` gives them, and what was not believed.
+
+    Stations are cut out of the text by their end tags and parsed one by one, so a broken one costs no other, whether a
+    file was cut short or a tag is missing in its middle. The quarantine has one row per find: ``file``, ``kind``, ``entity``,
+    ``product``, ``detail``. Kinds: ``record`` (not well-formed or without an end; the text), ``entity`` (a station without an
+    id), ``price`` and ``time`` (a value that is there but can't be read; such a price gives no reading, such a time a
+    reading without one). Prices without a value are usual and not listed. A file that ends just behind a whole element of
+    a station leaves that station with what it has.
+    """
+    more = dict(more or {})
+    known = STATION_XML.fieldNames()
+    fields = [*STATION_XML.fields, *_fields(*[name for name in more if name not in known])]
+    schema = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
+    found = spark.read.option("lineSep", f"</{row_tag}>").text(path if isinstance(path, str) else list(path))
+    text = F.decode(F.col("value").cast("binary"), charset)
+    pieces = found.select(F.col("_metadata.file_name").alias("file"), text.alias("text"))
+    # before a station's last start tag stands other markup, stations without content, or one that never ended
+    last = F.regexp_extract("text", rf"(?s)^.*(<{row_tag}[ \t\r\n>].*)$", 1)
+    cut = pieces.withColumn("station", last).withColumn("before", F.substring("text", F.lit(1), F.length("text") - F.length("station")))
+    ended = F.concat("station", F.lit(f"</{row_tag}>"))
+    options = {"rowTag": row_tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = cut.where("station <> ''").withColumn("s", F.from_xml(ended, schema.simpleString(), options))
+    broken = F.col("s").isNull() | F.col("s._corrupt").isNotNull()
+    stations = parsed.where(~broken).select("file", "s.*")
+
+    unended = cut.select("file", F.regexp_extract("before", rf"(?s)(<{row_tag}(?:\s[^>]*[^/>])?>.*)$", 1).alias("detail"))
+    records = parsed.where(broken).select("file", F.col("station").alias("detail")).unionByName(unended.where("detail <> ''"))
+    prices = stations.withColumn("p", F.explode("prix"))
+    price = F.nullif(F.trim("p._valeur"), F.lit(""))
+    read = prices.withColumns({"price_text": price, "time_text": F.nullif(F.trim("p._maj"), F.lit(""))}).withColumns(
+        {"price": F.col("price_text").try_cast("double"), "observed_at": F.col("time_text").try_cast("timestamp_ntz")}
+    )
+
+    def finds(rows: DataFrame, kind: str, detail: str) -> DataFrame:
+        return rows.select("file", F.lit(kind).alias("kind"), F.col("_id").alias("entity"), F.col("p._nom").alias("product"), F.col(detail).alias("detail"))
+
+    nothing = F.lit(None).cast("string")
+    quarantine = (
+        records.select("file", F.lit("record").alias("kind"), nothing.alias("entity"), nothing.alias("product"), "detail")
+        .unionByName(stations.where("_id is null").select(
+            "file", F.lit("entity").alias("kind"), nothing.alias("entity"), nothing.alias("product"), F.col("adresse").alias("detail")))
+        .unionByName(finds(read.where("price_text is not null and price is null"), "price", "price_text"))
+        .unionByName(finds(read.where("time_text is not null and observed_at is null"), "time", "time_text"))
+    )
+    readings = read.where("price is not null and _id is not null").select(
+        F.col("_id").alias("entity"),
+        F.col("p._nom").alias("product"),
+        "observed_at",
+        "price",
+        scaled_coordinate(F.col("_latitude")).alias("latitude"),
+        scaled_coordinate(F.col("_longitude")).alias("longitude"),
+        F.col("_cp").alias("postal_code"),
+        F.col("_pop").alias("road_type"),
+        F.col("ville").alias("city"),
+        F.col("adresse").alias("address"),
+        *[F.col(name).alias(column) for name, column in more.items()],
+    )
+    return readings, quarantine
+
+
 def json_keys(documents: DataFrame, column: str, into: str) -> DataFrame:
     """One row per key of a JSON object held as text, the other columns repeated."""
     as_map = F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType()))

@@ -235,6 +235,13 @@ STATION_FILE = """SELECT CAST(user_id AS VARCHAR) AS entity, event_type AS produ
 FROM events WHERE value IS NOT NULL AND event_id % 7 <> 0"""
 
 ORACLES: dict[str, str] = {
+    "ingest_checked": """WITH good AS (SELECT * FROM events WHERE event_id % 17 <> 0),
+finds AS (SELECT 'record' AS kind FROM events WHERE event_id % 17 = 0
+  UNION ALL SELECT 'entity' FROM good WHERE event_id % 23 = 0 UNION ALL SELECT 'price' FROM good WHERE event_id % 19 = 0
+  UNION ALL SELECT 'time' FROM good WHERE event_id % 13 = 0
+  UNION ALL SELECT CASE WHEN event_id % 13 = 0 THEN 'reading without a time' ELSE 'reading' END FROM good
+    WHERE event_id % 23 <> 0 AND event_id % 19 <> 0 AND value IS NOT NULL)
+SELECT kind, count(*) AS n_rows FROM finds GROUP BY kind""",
     "ingest_stations": STATION_FILE.format(more=", CASE WHEN user_id % 3 <> 0 THEN CAST(user_id % 7 AS VARCHAR) END AS lanes"),
     "ingest_feed": STATION_FILE.format(more="") + " AND event_id % 11 <> 0",
     "ingest_quotes": """SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice AS ref FROM orders

@@ -129,6 +129,21 @@ def ingest_stations(spark, sf_dir):
     return readers.read_station_xml(spark, path, charset="UTF-8", more={"_lanes": "lanes"})
 
 
+@query
+def ingest_checked(spark, sf_dir):
+    """Station files with broken stations, missing ids and unreadable values: finds and readings, counted."""
+    path = fresh_path(spark, "station-text")
+    st.table(spark, sf_dir, "events").selectExpr(
+        "concat('<pdv', if(event_id % 23 = 0, '', concat(' id=\"', user_id, '\"')), ' cp=\"75001\" pop=\"R\"><adresse>x</adresse><ville>City',"
+        " if(event_id % 17 = 0, '', '</ville>'), '<prix nom=\"', event_type, '\" maj=\"', if(event_id % 13 = 0, 'gestern', string(ts)),"
+        " '\" valeur=\"', if(event_id % 19 = 0, 'n/a', string(value)), '\"/></pdv>') as value"
+    ).write.text(path)
+    readings, quarantine = readers.read_station_xml_checked(spark, path, charset="UTF-8")
+    timed = F.when(F.col("observed_at").isNull(), "reading without a time").otherwise("reading")
+    counted = [t.groupBy("kind").agg(F.count("*").alias("n_rows")) for t in (quarantine, readings.select(timed.alias("kind")))]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def ingest_feed(spark, sf_dir):
     return readers.read_station_xml(spark, _station_files(spark, sf_dir), charset="UTF-8", require_time=True)
