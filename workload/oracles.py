@@ -407,3 +407,4 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY code ORDER BY CAST(rou
     FROM pairs WHERE d <= 50000)
 SELECT code, rank, entity, product, CAST(round(d) AS BIGINT) AS distance_m FROM ranked WHERE rank <= 5""",
 }
+ORACLES["merged_segments"] = ORACLES["segment_report"]

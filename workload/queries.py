@@ -571,6 +571,15 @@ def confusion_matrix_pct(spark, sf_dir):
     return metrics.confusion_matrix_pct(scored(spark, sf_dir))
 
 
+@query
+def merged_segments(spark, sf_dir):
+    """The segment report from sums per day, of which one day was run again."""
+    rows = scored(spark, sf_dir)
+    held = metrics.day_partials(rows, bounds=SEGMENTS)
+    again = metrics.day_partials(rows.where(F.col("day") == F.lit(AS_OF).cast("date")), bounds=SEGMENTS)
+    return metrics.reports_of(metrics.replace_days(held, again), bounds=SEGMENTS)["segments"]
+
+
 @query
 def classification_report(spark, sf_dir):
     return metrics.classification_report(scored(spark, sf_dir))
