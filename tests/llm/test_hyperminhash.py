@@ -93,8 +93,9 @@ def test_whole_table(spark):
     assert result(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
-@pytest.mark.parametrize(("seed", "run_rows"), [(1, 2048), (2, 2048), (3, 6)])
-def test_links_around_the_threshold(spark, tmp_path, seed, run_rows):
+@pytest.mark.parametrize(("seed", "run_rows", "slice_hashes"), [(1, 2048, 1 << 20), (2, 2048, 900), (3, 6, 2500)])
+def test_links_around_the_threshold(spark, tmp_path, monkeypatch, seed, run_rows, slice_hashes):
+    monkeypatch.setattr(hm, "SLICE_HASHES", slice_hashes)
     rows = near_texts(seed)
     found = result(documents(spark, rows, tmp_path), run_rows=run_rows)
     assert found == brute(rows)
@@ -130,6 +131,19 @@ def test_registers_bit_by_bit(hashes, shift):
     assert hm._registers(least[None], held[None])[0].tolist() == [plain_register(hashes, b) for b in range(128)]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=1, max_size=12), st.sampled_from([2, 4096]))
+def test_intersections(sets, columns):
+    old, hm.COLUMNS_AT_ONCE = hm.COLUMNS_AT_ONCE, columns
+    try:
+        found = hm._in_common([np.array(sorted(s), np.uint64) for s in sets])
+    finally:
+        hm.COLUMNS_AT_ONCE = old
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert i == j or found[i, j] == len(a & b)
+
+
 def test_estimate_keeps_every_pair_above_the_threshold():
     rng = np.random.default_rng(1)
     dropped = kept_far = 0

@@ -9,10 +9,12 @@ Registers are banded by four. Documents that share a band are candidates: at a s
 with probability 6e-11. Candidates are dropped only if the estimate lies six standard deviations below the threshold; all
 others are confirmed on their full sets.
 
-Copies are one set. Within a band no more pairs are checked than needed: first each document with the one that shares most
-bands with others, then those still apart from one another. What is linked already is not looked at again, and nothing
-that is apart is left unchecked. A band that very many share is refined by a second band (a pair that shares one band only:
-2e-9), and beyond that cut into slices that meet pairwise.
+Copies are one set. Within a band no more pairs are checked than needed. First each document is confirmed with the one that
+shares most bands with others. Of the components so found, those that the estimate cannot tell apart form clusters; a
+band gives only as many ties as join them, never its pairs. In a cluster every document stands once, and all of its pairs
+that are not of one component are confirmed at once, as a product of matrices of documents and shared shingles. A band that
+very many share is refined by a second band (a pair that shares one band only: 2e-9), and beyond that cut into slices that
+meet pairwise, as are large clusters.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import whole_text
+from tideline.llm.simhash import _join as merge_labels
 from tideline.llm.simhash import components
 from tideline.operators.skew import heavy_groups, sliced_join
 from tideline.session import settle
@@ -39,8 +42,9 @@ REGISTERS = 1 << BUCKET_BITS
 BAND = 4
 EMPTY = 0xFFFF
 DEVIATIONS = 6.0
-BEST = 8
 RUN_ROWS = 2048
+SLICE_HASHES = 1 << 20
+COLUMNS_AT_ONCE = 4096
 MIN_SLICE = 4096
 CELLS_AT_ONCE = 1 << 22
 
@@ -142,59 +146,52 @@ def _likely_batches(batches: Iterator[pa.RecordBatch], hundredths: int) -> Itera
         yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(kept))
 
 
-def _run_pairs(
-    group: np.ndarray, registers: np.ndarray, sizes: np.ndarray, hundredths: int, best: int | None
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of rows of different groups that may link; with ``best``, only the likeliest of each row.
+def _ties(group: np.ndarray, registers: np.ndarray, sizes: np.ndarray, hundredths: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of groups that tie together what may link across groups: one fewer than each tied lot of groups.
 
-    Rows of the largest group are not compared with one another, nor among themselves any group.
+    Rows of the largest group are not compared with one another.
     """
-    _, of, counts = np.unique(group, return_inverse=True, return_counts=True)
+    names, of, counts = np.unique(group, return_inverse=True, return_counts=True)
     rest = np.flatnonzero(of != counts.argmax())
-    filled = registers != EMPTY
+    filled, label = registers != EMPTY, np.arange(len(names))
     step = max(1, CELLS_AT_ONCE // (len(group) * REGISTERS))
     for at in range(0, len(rest), step):
         rows = rest[at : at + step]
         equal = ((registers[rows][:, None] == registers[None]) & filled[None]).sum(axis=2)
         either = (filled[rows][:, None] | filled[None]).sum(axis=2)
         may = _may_link(equal, either, sizes[rows][:, None], sizes[None], hundredths) & (of[rows][:, None] != of[None])
-        if best is not None:
-            value = np.where(may, equal / either, -1.0)
-            if value.shape[1] > best:
-                may &= value >= -np.partition(-value, best - 1, axis=1)[:, best - 1 : best]
         i, j = np.nonzero(may)
-        yield rows[i], j
+        merge_labels(label, of[rows[i]], of[j])
+    tied = np.flatnonzero(label != np.arange(len(names)))
+    return names[label[tied]], names[tied]
 
 
-def _pair_batches(batches: Iterator[pa.RecordBatch], hundredths: int, best: int | None) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key; a run may go on in the next batch."""
-    def found(run: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = run.column("key").to_numpy()
-        heads = np.append(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])), len(keys))
-        digests = np.array(run.column("digest").to_pylist(), object)
-        groups = np.array(run.column("root").to_pylist(), object)
-        registers, sizes = _matrix(run.column("registers")), run.column("n").to_numpy()
-        for begin, end in zip(heads[:-1], heads[1:], strict=True):
-            if end - begin > 1:
-                own = slice(begin, end)
-                for i, j in _run_pairs(groups[own], registers[own], sizes[own], hundredths, best):
-                    yield pa.record_batch(
-                        [pa.array(digests[own][i], pa.binary()), pa.array(digests[own][j], pa.binary())], names=["a", "b"]
-                    )
-
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows come sorted by their first column; every run of equal values as a table of its own."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         keys = batch.column(0).to_numpy()
-        last = int(np.searchsorted(keys, keys[-1], side="left"))
-        if last or (held and held[-1].column(0)[-1].as_py() != keys[-1]):
-            yield from found(pa.Table.from_batches([*held, batch.slice(0, last)]))
-            held = [batch.slice(last)]
-        else:
-            held.append(batch)
+        if held and held[-1].column(0)[-1].as_py() != keys[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        heads = np.append(np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])), len(keys))
+        for begin, end in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            held.append(batch.slice(begin, end - begin))
+            if end < len(keys):
+                yield pa.Table.from_batches(held)
+                held = []
     if held:
-        yield from found(pa.Table.from_batches(held))
+        yield pa.Table.from_batches(held)
+
+
+def _tie_batches(batches: Iterator[pa.RecordBatch], hundredths: int) -> Iterator[pa.RecordBatch]:
+    for run in _runs(batches):
+        if run.num_rows > 1:
+            group = np.array(run.column("root").to_pylist(), object)
+            a, b = _ties(group, _matrix(run.column("registers")), run.column("n").to_numpy(), hundredths)
+            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 # --- confirmation ----------------------------------------------------------------------------------------------------
@@ -235,6 +232,63 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, hundredths: int) -> DataFrame:
     return settle(told.mapInArrow(lambda b: _confirmed_batches(b, hundredths), "a binary, b binary"), "hyper-links")
 
 
+def _in_common(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all pairs' intersections: the product of the matrix of sets and shingles with itself.
+
+    Only shingles of two sets or more have a column. Counts stay below 2^24, which single precision holds exactly.
+    """
+    hashes, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    shared = np.repeat(np.diff(np.append(np.flatnonzero(new), len(hashes))) > 1, np.diff(np.append(np.flatnonzero(new), len(hashes))))
+    owner, column = owner[shared], np.cumsum(new[shared]) - 1
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS_AT_ONCE):
+        low, high = np.searchsorted(column, [first, first + COLUMNS_AT_ONCE])
+        matrix = np.zeros((len(sets), int(column[high - 1]) + 1 - first), np.float32)
+        matrix[owner[low:high], column[low:high] - first] = 1
+        common += matrix @ matrix.T
+    return common
+
+
+def _exact_batches(batches: Iterator[pa.RecordBatch], hundredths: int) -> Iterator[pa.RecordBatch]:
+    """Links that connect what all links of a run connect; documents of one component are connected already."""
+    for run in _runs(batches):
+        digests = np.array(run.column("digest").to_pylist(), object)
+        _, root = np.unique(np.array(run.column("root").to_pylist(), object), return_inverse=True)
+        if root.max() == 0:
+            continue
+        sets = [np.frombuffer(x, np.uint64) for x in run.column("hashes").to_pylist()]
+        size, common, label = np.array([len(x) for x in sets]), _in_common(sets), np.arange(root.max() + 1)
+        a, b = [], []
+        for at in range(0, len(sets), 256):
+            own = common[at : at + 256].astype(np.int64)
+            linked = 100 * own >= hundredths * (size[at : at + 256, None] + size[None] - own)
+            i, j = np.nonzero(linked & (root[at : at + 256, None] != root[None]))
+            i += at
+            for x, y in zip(*_spanning(label, root, i, j), strict=True):
+                a.append(digests[x])
+                b.append(digests[y])
+        yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def _spanning(label: np.ndarray, root: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of links (i, j), those that join components that were apart; ``label`` is brought up to date."""
+    left, right = [], []
+    while len(i):
+        apart = label[root[i]] != label[root[j]]
+        i, j = i[apart], j[apart]
+        if len(i):  # the first link of each component that has one: no two of them are the same
+            _, first = np.unique(np.maximum(label[root[i]], label[root[j]]), return_index=True)
+            for x, y in zip(i[first].tolist(), j[first].tolist(), strict=True):
+                if label[root[x]] != label[root[y]]:
+                    left.append(x)
+                    right.append(y)
+                    merge_labels(label, root[[x]], root[[y]])
+    return left, right
+
+
 # --- candidates ------------------------------------------------------------------------------------------------------
 
 
@@ -276,10 +330,9 @@ def _apart(rows: DataFrame) -> DataFrame:
     return settle(sliced_join(rows, keys, ["key"], heavy_left=heavy, spread_left=["digest"]), "hyper-rows")
 
 
-def _crossing(met: DataFrame, reps: DataFrame, roots: DataFrame, hundredths: int, best: int | None, run_rows: int) -> DataFrame:
-    """Pairs of different components that share a band and may link."""
-    labelled = met.drop("n").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    rows = _apart(labelled)
+def _tied(met: DataFrame, reps: DataFrame, roots: DataFrame, hundredths: int, run_rows: int) -> DataFrame:
+    """Ties (a, b) of components that share a band and that the estimate cannot tell apart."""
+    rows = _apart(met.drop("n").join(roots, "digest"))
     light, heavy = rows.where(F.col("n") <= run_rows), rows.where(F.col("n") > run_rows)
     runs = light.select("key", "digest", "root")
     if not heavy.isEmpty():
@@ -297,11 +350,41 @@ def _crossing(met: DataFrame, reps: DataFrame, roots: DataFrame, hundredths: int
         runs = runs.unionByName(
             hot.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "digest", "root")
         )
-    laid = runs.join(reps.select("digest", "n", "registers"), "digest").select("key", "digest", "root", "n", "registers")
-    found = laid.repartition("key").sortWithinPartitions("key", "digest").mapInArrow(
-        lambda b: _pair_batches(b, hundredths, best), "a binary, b binary"
-    )
-    return settle(_ordered(found), "hyper-pairs")
+    laid = runs.join(reps.select("digest", "n", "registers"), "digest").select("key", "root", "n", "registers")
+    found = laid.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _tie_batches(b, hundredths), "a binary, b binary")
+    return settle(_ordered(found), "hyper-ties")
+
+
+def _within_clusters(members: DataFrame, hundredths: int) -> DataFrame:
+    """Links across components of (cluster, digest, root, n, hashes), confirmed on the full sets.
+
+    Slices of a large cluster meet pairwise, but for those of its largest component, which do not meet one another.
+    """
+    per_root = members.groupBy("cluster", "root").agg(F.sum("n").alias("w"))
+    per = per_root.groupBy("cluster").agg(F.sum("w").alias("total"), F.max(F.struct("w", "root")).alias("bulk"))
+    cut = F.col("total") > SLICE_HASHES
+    rest = F.ceil((F.col("total") - F.col("bulk.w")) / SLICE_HASHES)
+    per = settle(per.select(
+        "cluster", F.col("total").alias("_hashes"), F.when(cut, F.col("bulk.root")).alias("bulk"),
+        F.when(cut, F.ceil(F.col("bulk.w") / SLICE_HASHES)).otherwise(0).cast("int").alias("p"),
+        F.when(cut, rest).otherwise(1).cast("int").alias("q"),
+    ), "hyper-clusters")
+    heavy = heavy_groups(per, ["cluster"], "_hashes", min_rows=SLICE_HASHES)
+    placed = sliced_join(members, per.drop("_hashes"), ["cluster"], heavy_left=heavy, spread_left=["digest"])
+
+    def upto(n: str) -> Column:
+        return F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+
+    in_bulk = F.coalesce(F.col("root") == F.col("bulk"), F.lit(False))
+    mine = F.pmod(F.xxhash64("digest", F.lit(2)), F.when(in_bulk, F.col("p")).otherwise(F.col("q"))).cast("int")
+    dealt = placed.withColumns({"in_bulk": in_bulk, "mine": mine})
+    with_rest = F.transform(upto("q"), lambda j: F.xxhash64("cluster", F.lit("rest"), F.least("mine", j), F.greatest("mine", j)))
+    with_bulk = F.transform(upto("p"), lambda j: F.xxhash64("cluster", F.lit("bulk"), "mine", j))
+    of_bulk = F.transform(upto("q"), lambda i: F.xxhash64("cluster", F.lit("bulk"), i, "mine"))
+    keys = F.when(F.col("in_bulk"), of_bulk).otherwise(F.concat(with_rest, with_bulk))
+    laid = dealt.select(F.explode(keys).alias("key"), "digest", "root", "hashes")
+    found = laid.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _exact_batches(b, hundredths), "a binary, b binary")
+    return settle(found, "hyper-links")
 
 
 # --- operator --------------------------------------------------------------------------------------------------------
@@ -314,7 +397,6 @@ def near_groups(
     text: str = "text",
     words: int = SHINGLE_WORDS,
     hundredths: int = SIMILARITY,
-    best: int = BEST,
     run_rows: int = RUN_ROWS,
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -342,7 +424,7 @@ def near_groups(
     reps = settle(per_set, "hyper-reps")
     keys = reps.select("digest", F.explode(F.filter(_bands("registers"), lambda x: x.isNotNull())).alias("key"))
     met = _shared(keys)
-    links = _links(met, reps, keyed, words, hundredths, best, run_rows)
+    links = _links(met, reps, keyed, words, hundredths, run_rows)
     roots = components(links).withColumnsRenamed({"node": "digest"})
 
     rooted = reps.join(roots, "digest", "left").select("digest", "rows", "least", F.coalesce("root", "digest").alias("root"))
@@ -358,7 +440,7 @@ def near_groups(
 
 
 def _links(
-    met: DataFrame, reps: DataFrame, keyed: DataFrame, words: int, hundredths: int, best: int, run_rows: int
+    met: DataFrame, reps: DataFrame, keyed: DataFrame, words: int, hundredths: int, run_rows: int
 ) -> DataFrame:
     """Confirmed links (a, b) between sets that connect exactly what all links connect."""
     wanted = met.select("digest").distinct().join(reps, "digest").select("digest", "one.text_key", F.col("one.doc_id").alias("at"), "rows")
@@ -380,11 +462,16 @@ def _links(
         ),
         "hyper-likely",
     )
-    links, tried = _confirmed(likely, sets, hundredths), stars
-    for limit in (best, None):  # the likeliest of each document first; then all that are still apart
-        roots = components(links).withColumnsRenamed({"node": "digest"})
-        pairs = _crossing(met, reps, roots, hundredths, limit, run_rows)
-        pairs = settle(pairs.join(tried, ["a", "b"], "left_anti"), "hyper-untried")
-        links = links.unionByName(_confirmed(pairs, sets, hundredths))
-        tried = tried.unionByName(pairs)
-    return links
+    links = _confirmed(likely, sets, hundredths)
+    roots = components(links).withColumnsRenamed({"node": "digest"})
+    roots = settle(
+        met.select("digest").distinct().join(roots, "digest", "left").select("digest", F.coalesce("root", "digest").alias("root")),
+        "hyper-stars",
+    )
+    tied = components(_tied(met, reps, roots, hundredths, run_rows))
+    clusters = tied.select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+    per_root = roots.groupBy("root").agg(F.count("*").alias("_n"))
+    heavy = heavy_groups(per_root, ["root"], "_n", min_rows=MIN_SLICE)
+    members = sliced_join(roots, clusters, ["root"], heavy_left=heavy, spread_left=["digest"])
+    members = members.join(reps.select("digest", "n"), "digest").join(sets, "digest")
+    return links.unionByName(_within_clusters(members, hundredths))
