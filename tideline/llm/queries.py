@@ -66,7 +66,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer=tokenizer())
-    return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_files.read_token_files(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query

@@ -32,8 +32,11 @@ BLOCK_IDS = 256
 SEGMENT_IDS = 1 << 17
 TEXTS_AT_ONCE = 64
 
-_STAGED = pa.schema([("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary())])
-_STAGED_SQL = "segment int, doc_ids array<long>, lengths array<long>, ids binary"
+_STAGED = pa.schema(
+    [("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()),
+     ("counts", pa.binary())]  # a task's last row, without a segment, tells how often it met each id
+)
+_STAGED_SQL = "segment int, doc_ids array<long>, lengths array<long>, ids binary, counts binary"
 _SEGMENT = pa.schema(
     [("part", pa.int32()), ("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
      ("n_ids", pa.int64()), ("bits", pa.binary()), ("checkpoints", pa.list_(pa.int64()))]
@@ -140,6 +143,14 @@ def decode_ids(bits: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray,
 def _staged_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     words, end = encoder(path), np.array([end_id], "<u4").tobytes()
     segment, docs, lengths, ids, held = 0, [], [], [], 0
+    counts = np.zeros(0, np.int64)
+
+    def made() -> pa.RecordBatch:
+        nonlocal counts
+        whole = b"".join(ids)
+        counts = _added(counts, np.bincount(np.frombuffer(whole, "<u4")))
+        return pa.record_batch([[segment], [docs], [lengths], [whole], pa.nulls(1, pa.binary())], _STAGED)
+
     for whole in batches:
         for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
             batch = whole.slice(at, TEXTS_AT_ONCE)
@@ -149,22 +160,26 @@ def _staged_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -
                 ids += [found, end]
                 held += lengths[-1]
                 if held >= SEGMENT_IDS:
-                    yield pa.record_batch([[segment], [docs], [lengths], [b"".join(ids)]], _STAGED)
+                    yield made()
                     segment, docs, lengths, ids, held = segment + 1, [], [], [], 0
     if docs:
-        yield pa.record_batch([[segment], [docs], [lengths], [b"".join(ids)]], _STAGED)
+        yield made()
+    if len(counts):
+        yield pa.record_batch([pa.nulls(1, pa.int32()), [None], [None], [None], [counts.astype("<i8").tobytes()]], _STAGED)
+
+
+def _added(counts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The sum of two lists of counts by id, as long as the longer one."""
+    longer, other = (own, counts) if len(own) > len(counts) else (counts, own)
+    longer[: len(other)] += other
+    return longer
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            own = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
-            if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
+        for own in batch.column(0):
+            counts = _added(counts, np.frombuffer(own.as_py(), "<i8").copy())
     used = np.flatnonzero(counts)
     yield pa.record_batch([used, counts[used]], names=["id", "n"])
 
@@ -196,7 +211,8 @@ def write_token_files(
         laid.mapInArrow(lambda b: _staged_batches(b, tokenizer, end_id), _STAGED_SQL).withColumn("part", F.spark_partition_id()),
         "staged-ids",
     )
-    counted = staged.select("ids").mapInArrow(_count_batches, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    told = staged.where("counts is not null").select("counts")
+    counted = told.mapInArrow(_count_batches, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = counted.collect()  # at most one row per id of the vocabulary
     counts = np.zeros(max((r.id for r in found), default=-1) + 1, np.int64)
     for r in found:
@@ -205,13 +221,14 @@ def write_token_files(
     spark = docs.sparkSession
     code = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(code, "id long, length int").coalesce(1).write.parquet(f"{path}/code")
-    staged.mapInArrow(lambda b: _segment_batches(b, lengths), _SEGMENT_SQL).write.option("compression", "none").parquet(f"{path}/ids")
+    segments = staged.where("segment is not null").drop("counts")
+    segments.mapInArrow(lambda b: _segment_batches(b, lengths), _SEGMENT_SQL).write.option("compression", "none").parquet(f"{path}/ids")
 
 
 # --- reading -----------------------------------------------------------------------------------------------------------
 
 
-def _document_batches(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _document_batches(batches: Iterator[pa.RecordBatch], lengths: np.ndarray, with_ids: bool) -> Iterator[pa.RecordBatch]:
     table = decoding_table(lengths)
     for batch in batches:
         for row in batch.to_pylist():
@@ -220,13 +237,17 @@ def _document_batches(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) ->
             before = np.cumsum(sizes) - sizes
             own = [ids[4 * b : 4 * (b + n)] for b, n in zip(before.tolist(), row["lengths"], strict=True)]
             n = len(own)
+            told = own if with_ids else pa.nulls(n, pa.binary())
             yield pa.record_batch(
-                [[row["part"]] * n, [row["segment"]] * n, row["doc_ids"], before, sizes, own, [zlib.crc32(x) for x in own]], _DOCUMENT
+                [[row["part"]] * n, [row["segment"]] * n, row["doc_ids"], before, sizes, told, [zlib.crc32(x) for x in own]], _DOCUMENT
             )
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a token store, decoded: doc_id, start (ids of all documents before it), n_tokens, ids, ids_crc32."""
+def read_token_files(spark: SparkSession, path: str, *, with_ids: bool = True) -> DataFrame:
+    """Documents of a token store, decoded: doc_id, start (ids of all documents before it), n_tokens, ids, ids_crc32.
+
+    Every id is decoded either way; without ``with_ids`` the column ``ids`` is null and only the checksum tells them.
+    """
     code = spark.read.schema("id long, length int").parquet(f"{path}/code").collect()  # one row per id of the vocabulary
     lengths = np.zeros(max((r.id for r in code), default=-1) + 1, np.uint8)
     for r in code:
@@ -240,7 +261,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     starts = sizes.withColumn("within", within).join(parts, "part").select(
         "part", "segment", (F.coalesce("base", F.lit(0)) + F.coalesce("within", F.lit(0))).alias("base")
     )
-    documents = segments.mapInArrow(lambda b: _document_batches(b, lengths), _DOCUMENT_SQL)
+    documents = segments.mapInArrow(lambda b: _document_batches(b, lengths, with_ids), _DOCUMENT_SQL)
     return documents.join(starts, ["part", "segment"]).select(
         "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids", "ids_crc32"
     )

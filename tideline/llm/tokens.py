@@ -8,7 +8,8 @@ import re
 import sys
 from array import array
 
-UNITS_HELD = 600_000
+UNITS_HELD = 300_000  # of a generation; the one before is kept beside it
+PARTS_HELD = 300_000
 END_ID = 2
 
 # letters whose lower case, composition and class no version of Unicode disputes, then marks (no apostrophe: contractions)
@@ -84,8 +85,16 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.units: dict[str, bytes] = {}
+        self.units_before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def _make_room(self, units: int) -> None:
+        """A full generation steps back and its predecessor goes; what is asked for again is taken over, not learned."""
+        if self.units and len(self.units) + units > self.units_held:
+            self.units_before, self.units = self.units, {}
+        if len(self.parts) > PARTS_HELD:
+            self.parts = {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         return self._from_units(texts) if self.by_unit else self._from_library(texts)
 
@@ -105,12 +114,16 @@ class WordEncoder:
                 continue
             word, marks = cut.groups()
             word = word.lower()
-            if word not in parts:
-                parts[word] = self._word(word)
-            if marks and marks not in parts:
-                parts[marks] = self._from_library([marks])[0]
-            self.units[unit] = parts[word] + parts[marks] if marks else parts[word]
-        self.units.update(zip(others, self._from_library(others), strict=True))
+            ids = parts.get(word)
+            if ids is None:
+                ids = parts[word] = self._word(word)
+            if marks:
+                if marks not in parts:
+                    parts[marks] = self._from_library([marks])[0]
+                ids += parts[marks]
+            self.units[unit] = ids
+        if others:
+            self.units.update(zip(others, self._from_library(others), strict=True))
 
     def _from_units(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -118,9 +131,13 @@ class WordEncoder:
             units = text.replace("\n", " ").split(" ")
             different = set(units)
             if new := different.difference(self.units):
-                if self.units and len(self.units) + len(new) > self.units_held:
-                    self._forget()
+                if len(self.units) + len(new) > self.units_held:
+                    self._make_room(len(new))
                     new = different
-                self._learn(new)
+                before = self.units_before
+                known = {u: before[u] for u in new if u in before}
+                self.units |= known
+                if len(known) < len(new):
+                    self._learn(new.difference(known))
             out.append(b"".join(map(self.units.__getitem__, units)))
         return out
