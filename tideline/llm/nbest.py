@@ -4,7 +4,7 @@ The pieces that match somewhere in a text form a lattice; a path's score is the
 pass gives the best score up to every place. These are exact heuristics for the way back: an A-star search from the end
 takes up the partial path with the best total first, so it finishes the paths in order of score and looks at few others.
 
-No piece spans two neighbouring characters that stand together in no piece. The lattice falls apart there, exactly, and and each distinct word is
+No piece spans two neighbouring characters that stand together in no piece. The lattice falls apart there, exactly, and each distinct word is
 scored once while it is held. Of all words only those whose best and second best path differ
 least can take part in the N best paths of the text; the search runs over them alone.
 """
@@ -27,8 +27,8 @@ from tideline.llm.common import number_rows, whole_text
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-WORDS_HELD = 400_000
-SECTIONS_HELD = 200_000
+WORDS_HELD = 400_000  # of a generation; the one before is kept beside it
+SECTIONS_HELD = 400_000
 WORST = float("-inf")
 
 _LOADED: dict[str, PieceModel] = {}  # one per worker process and file: its sections serve later tasks too
@@ -62,7 +62,9 @@ class PieceModel:
         self.pairs = {piece[at : at + 2] for piece in pieces for at in range(len(piece) - 1)}
         self.words_apart = all(p[0] == SPACE or p[1] != SPACE for p in self.pairs)
         self.held: dict[str, tuple[float, float, bytes]] = {}  # of words
+        self.held_before: dict[str, tuple[float, float, bytes]] = {}
         self.cuts: dict[str, tuple[float, float, bytes]] = {}  # of sections of words
+        self.cuts_before: dict[str, tuple[float, float, bytes]] = {}
 
     @classmethod
     def from_file(cls, path: str) -> PieceModel:
@@ -181,14 +183,16 @@ class PieceModel:
     def _section(self, section: str) -> tuple[float, float, bytes]:
         held = self.cuts.get(section)
         if held is None:
-            best, second, back = self.forward(section)
-            parts, at = [], len(section)
-            while at:
-                parts.append(section[back[at] : at])
-                at = back[at]
-            held = best[-1], best[-1] - second[-1], array("I", self.ids(parts[::-1])).tobytes()
-            if len(self.cuts) >= SECTIONS_HELD:
-                self.cuts.clear()
+            held = self.cuts_before.get(section)
+            if held is None:
+                best, second, back = self.forward(section)
+                parts, at = [], len(section)
+                while at:
+                    parts.append(section[back[at] : at])
+                    at = back[at]
+                held = best[-1], best[-1] - second[-1], array("I", self.ids(parts[::-1])).tobytes()
+            if len(self.cuts) >= SECTIONS_HELD:  # a full generation steps back; what is asked for again is taken over
+                self.cuts_before, self.cuts = self.cuts, {}
             self.cuts[section] = held
         return held
 
@@ -212,9 +216,12 @@ class PieceModel:
         different = set(words)
         if new := different.difference(self.held):
             if self.held and len(self.held) + len(new) > WORDS_HELD:
-                self.held.clear()
+                self.held_before, self.held = self.held, {}
                 new = different
-            self._learn(new)
+            before = self.held_before
+            known = {w: before[w] for w in new if w in before}
+            self.held |= known
+            self._learn(new.difference(known))
         own = list(map(self.held.__getitem__, words))
         ids = [x[2] for x in own]
         total = sum([x[0] for x in own])
@@ -264,21 +271,19 @@ class PieceModel:
         return whole.replace(SPACE, " ").removeprefix(" ")
 
 
-_SEGMENT_SQL = "_row long, rank int, score double, n_ids long, ids_crc32 long, round_trip boolean, ids binary"
-
-
 def _segment_batches(batches: Iterator[pa.RecordBatch], path: str, n: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     model = piece_model(path)
     for whole in batches:
+        id_kind = whole.column(1).type
         for at in range(0, whole.num_rows, 64):
             batch, out = whole.slice(at, 64), []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for rank, (score, ids) in enumerate(model.encode(text, n), 1):
                     same = model.decode(ids) == text if rank == 1 else None
-                    out.append((row, rank, score, len(ids) // 4, zlib.crc32(ids), same, ids if with_ids else None))
+                    out.append((row, doc_id, rank, score, len(ids) // 4, zlib.crc32(ids), same, ids if with_ids else None))
             columns = [list(c) for c in zip(*out, strict=True)]
-            kinds = (pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-            names = ("_row", "rank", "score", "n_ids", "ids_crc32", "round_trip", "ids")
+            kinds = (pa.int64(), id_kind, pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+            names = ("row_number", "doc_id", "rank", "score", "n_ids", "ids_crc32", "round_trip", "ids")
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
@@ -287,16 +292,21 @@ def best_segmentations(
 ) -> DataFrame:
     """The n best segmentations of every whole text: doc_id, rank (from 1), score, n_ids, ids_crc32, round_trip, ids.
 
-    ``model`` is a sentencepiece file that every executor can read. ``ids`` are little-endian unsigned 32-bit numbers,
-    null unless asked for; ``round_trip`` tells, at rank 1, whether decoding gives the text again (a text that holds
-    the space mark itself does not come back). Null text counts as empty and has one segmentation, without ids; other texts have as
-    many as there are, at most n. Null ids and repeated rows are documents of their own; an empty table gives an empty
-    result; other columns are not read. ``docs`` is a stored table.
+    ``model`` is a sentencepiece file that every executor can read; its piece scores are added up along a path. Where they
+    are not log probabilities (a BPE model's are minus the rank of the merge), the best path need not be the library's own
+    encoding. ``ids`` are little-endian unsigned 32-bit numbers, null unless asked for; ``round_trip`` tells, at rank 1,
+    whether decoding gives the text again (a text that holds the space mark itself does not come back). Null text counts as
+    empty and has one segmentation, without ids; other texts have as many as there are, at most n. Null ids and repeated
+    rows are documents of their own, told apart by ``row_number``, which holds within one evaluation; an empty table gives
+    an empty result; other columns are not read.
     """
-    rows = number_rows(docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text")))
-    found = rows.select("_row", "_text").mapInArrow(lambda b: _segment_batches(b, model, n, with_ids), _SEGMENT_SQL)
-    return found.join(rows.select("_row", "doc_id"), "_row").select(
-        "doc_id", "rank", "score", "n_ids", "ids_crc32", "round_trip", "ids", F.col("_row").alias("row_number")
+    rows = number_rows(docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("_text"))).select("_row", "doc_id", "_text")
+    kind = dict(rows.dtypes)["doc_id"]
+    schema = (
+        f"row_number long, doc_id {kind}, rank int, score double, n_ids long, ids_crc32 long, round_trip boolean, ids binary"
+    )
+    return rows.mapInArrow(lambda b: _segment_batches(b, model, n, with_ids), schema).select(
+        "doc_id", "rank", "score", "n_ids", "ids_crc32", "round_trip", "ids", "row_number"
     )
 
 
