@@ -69,6 +69,41 @@ def test_hot_cell_on_both_sides(spark):
     assert len(pairs) == expected >= 80 * 50
 
 
+def test_join_work_is_dealt_by_pairs(spark):
+    """Few bytes, many pairs: no task of the join puts out more than a small share of them."""
+    stations = [(45.0 + i * 1e-5, 5.0) for i in range(400)]
+    centres = [(45.0, 5.0 + i * 1e-5) for i in range(300)]
+    found = geo.radius_join(*tables(spark, centres, stations), 20_000.0, min_slice=20)
+    per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 300 * 400 and max(per_task) < 0.5 * sum(per_task)
+
+
+def test_dense_cells_are_cut_on_the_side_that_needs_it(spark):
+    def cells(sizes):
+        rows = [(0, cell) for cell, n in enumerate(sizes) for _ in range(n)]
+        return spark.createDataFrame(rows, "_band int, _cell int")
+
+    dense = geo._dense_cells(cells([300, 1, 900, 5]), cells([300, 900, 1, 5]), 4, 10)
+    cut = {r._cell: (r._left, r._right) for r in dense.collect()}
+    limit = (300 * 300 + 900 + 900 + 25) / 16
+    assert set(cut) == {0} and cut[0][0] > 1 and cut[0][1] > 1
+    assert math.ceil(300 / cut[0][0]) * math.ceil(300 / cut[0][1]) <= limit * 1.1
+    few = geo._dense_cells(cells([1, 900]), cells([900, 1]), 4, 10)
+    assert {r._cell: (r._left, r._right) for r in few.collect()} == {0: (1, 8), 1: (8, 1)}
+
+
+def test_rim_of_the_radius(spark):
+    """Radii a hair's breadth either side of a station's distance, and longitudes counted past the antimeridian."""
+    places = globe(40, 6) + [(45.0, 725.0), (10.0, -365.0)]
+    left, right = tables(spark, [(45.0, 5.0)], places)
+    told = right.select("entity", great_circle_m(F.lit(45.0), F.lit(5.0), F.col("latitude"), F.col("longitude")).alias("m"))
+    away = {r.entity: r.m for r in told.collect()}
+    for radius in (10.0, sorted(away.values())[5], math.nextafter(sorted(away.values())[20], 0), 3e7):
+        found = geo.radius_join(left, right, radius)
+        expected = {k: m for k, m in away.items() if m <= radius}
+        assert {r.entity: r.distance_m for r in found.collect()} == expected
+
+
 def test_sliced_join_equals_plain_join(spark):
     from tideline.operators.skew import heavy_groups, sliced_join
 

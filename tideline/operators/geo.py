@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import EARTH_RADIUS_M, great_circle_m
-from tideline.operators.skew import MIN_SLICE_ROWS, heavy_groups, sliced_join
+from tideline.operators.skew import MIN_SLICE_ROWS, SLICES_PER_PARTITION, heavy_groups, sliced_join
 from tideline.schema import KEY
 
 CELL = ("_band", "_cell")
 METRES_PER_DEGREE = EARTH_RADIUS_M * math.pi / 180.0
+MIN_BLOCK_ROWS = 2_000  # pairs of this many centres and stations are not cut further
+CHORD_SLACK = 1e-9  # of the unit sphere, 6 mm: far above what rounding does to a chord
 
 
 def within_radius(
@@ -91,6 +93,39 @@ class CellGrid:
         )
 
 
+def _with_axes(points: DataFrame, lat: str, lon: str, mark: str) -> DataFrame:
+    """Add the place on the unit sphere: ``mark`` + x, y, z."""
+    phi, lam = F.radians(lat), F.radians(F.pmod(F.col(lon), F.lit(360.0)))
+    return points.withColumns(
+        {f"{mark}x": F.cos(phi) * F.cos(lam), f"{mark}y": F.cos(phi) * F.sin(lam), f"{mark}z": F.sin(phi)}
+    )
+
+
+def _within(distance: Column, radius_m: float) -> Column:
+    """``distance <= radius_m``, decided by the squared chord alone but for a rim a few millimetres wide."""
+    chord = 2 * math.sin(min(max(radius_m, 0.0) / EARTH_RADIUS_M / 2, math.pi / 2))
+    squares = [(F.col(f"_s{a}") - F.col(f"_c{a}")) * (F.col(f"_s{a}") - F.col(f"_c{a}")) for a in "xyz"]
+    squared = squares[0] + squares[1] + squares[2]
+    surely, at_all = max(chord - CHORD_SLACK, 0.0) ** 2, (chord + CHORD_SLACK) ** 2
+    return (squared <= F.lit(at_all)) & ((squared < F.lit(surely)) | (distance <= F.lit(float(radius_m))))
+
+
+def _dense_cells(placed: DataFrame, around: DataFrame, tasks: int, min_rows: int) -> DataFrame:
+    """Cells in which more pairs meet than a slice should hold: ``_left`` and ``_right``, the parts of each side.
+
+    A slice holds at most one ``SLICES_PER_PARTITION``-th of a task's average pairs, so the list has a few rows per task.
+    """
+    met = placed.groupBy(*CELL).agg(F.count("*").alias("_stations")).join(
+        around.groupBy(*CELL).agg(F.count("*").alias("_centres")), list(CELL)
+    )
+    met = met.withColumn("_pairs", F.col("_stations").cast("double") * F.col("_centres"))
+    share = met.agg(F.sum("_pairs") / F.lit(float(SLICES_PER_PARTITION * tasks))).scalar()
+    limited = met.withColumn("_limit", F.greatest(share, F.lit(float(min_rows) ** 2))).where("_pairs > _limit")
+    rows = F.greatest(F.sqrt("_limit"), F.col("_limit") / F.col("_centres"))
+    left = limited.withColumn("_left", F.ceil(F.col("_stations") / rows).cast("int"))
+    return left.withColumn("_right", F.ceil(F.col("_pairs") / F.col("_left") / F.col("_limit")).cast("int"))
+
+
 def radius_join(
     centres: DataFrame,
     stations: DataFrame,
@@ -103,25 +138,33 @@ def radius_join(
     """Every pair of centre and station at most ``radius_m`` apart: ``centre_id``, station columns, ``distance_m``.
 
     An equi-join on cells: each station is in one cell, each centre is repeated for the few cells its circle touches, so
-    a pair meets exactly once and the candidates are within a small factor of the result. A cell that holds a large
-    share of the stations or of the centres (a dense city) is cut into slices, so no task gets the whole cell.
+    a pair meets exactly once and the candidates are within a small factor of the result. The result is quadratic where
+    both sides are dense, so the work is dealt out by pairs, not by bytes: a cell that holds a large share of the stations,
+    of the centres or of the pairs (a dense city) is cut into slices, and the slices are spread over at least four tasks a
+    core. Candidates are told by their chord; the great circle is computed once per pair that is returned.
     """
     grid = CellGrid(radius_m)
     located = "latitude is not null and longitude is not null"
     placed = grid.assign(stations.where(located))
     around = grid.cover(centres.where(located).select(centre_id, "latitude", "longitude"))
     around = around.withColumnsRenamed({"latitude": "_lat", "longitude": "_lon"})
-    def crowded(points: DataFrame) -> DataFrame:
-        return heavy_groups(points.groupBy(*CELL).agg(F.count("*").alias("_n")), CELL, "_n", min_rows=min_slice)
+    spark = stations.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    dense = _dense_cells(placed, around, tasks, min(min_slice, MIN_BLOCK_ROWS))
+
+    def crowded(points: DataFrame, parts: str) -> DataFrame:
+        by_rows = heavy_groups(points.groupBy(*CELL).agg(F.count("*").alias("_n")), CELL, "_n", min_rows=min_slice)
+        by_pairs = dense.where(F.col(parts) > 1).select(*CELL, F.col(parts).alias("_slices"))
+        return by_rows.unionByName(by_pairs).groupBy(*CELL).agg(F.max("_slices").alias("_slices"))
 
     distance = great_circle_m(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))
     return (
         sliced_join(
-            placed, around, CELL,
-            heavy_left=crowded(placed), spread_left=spread_by,
-            heavy_right=crowded(around), spread_right=(centre_id,),
+            _with_axes(placed, "latitude", "longitude", "_s"), _with_axes(around, "_lat", "_lon", "_c"), CELL,
+            heavy_left=crowded(placed, "_left"), spread_left=spread_by,
+            heavy_right=crowded(around, "_right"), spread_right=(centre_id,), tasks=tasks,
         )
+        .where(_within(distance, radius_m))
         .withColumn("distance_m", distance)
-        .where(F.col("distance_m") <= F.lit(float(radius_m)))
-        .drop("_lat", "_lon", *CELL)
+        .drop("_lat", "_lon", *CELL, *[f"{mark}{a}" for mark in ("_s", "_c") for a in "xyz"])
     )
