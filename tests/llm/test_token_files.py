@@ -111,3 +111,18 @@ def test_whole_table_in_small_segments(spark, monkeypatch):
     found = sorted(stored(spark, docs), key=lambda r: r.start)
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in found] == expected(rows)
     assert [r.start for r in found] == np.cumsum([0] + [r.n_tokens for r in found])[:-1].tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, tf.RUN_IDS - 1, tf.RUN_IDS, tf.RUN_IDS + 1, 3 * tf.RUN_IDS + 77])
+def test_runs_of_ids_leave_no_seam(n):
+    """The bits of a long segment are those of its ids' codes in a row, also where one run of ids ends and the next begins."""
+    ids = np.random.default_rng(n).zipf(1.3, n).clip(max=3000).astype("<u4")
+    lengths = tf.code_lengths(np.bincount(ids, minlength=2))
+    bits, checkpoints = tf.encode_ids(ids, lengths, tf.canonical_codes(lengths))
+    codes = tf.canonical_codes(lengths)
+    row = "".join(format(codes[i], f"0{lengths[i]}b") for i in ids)
+    size = (len(row) + 7) // 8
+    assert bits[:size] == int(row.ljust(size * 8, "0") or "0", 2).to_bytes(size, "big")
+    before = np.concatenate([[0], np.cumsum(lengths[ids], dtype=np.int64)])[:-1] if n else np.zeros(0)
+    assert checkpoints.tolist() == before[:: tf.BLOCK_IDS].tolist()
+    assert (tf.decode_ids(bits, checkpoints, n, tf.decoding_table(lengths)) == ids).all()

@@ -29,7 +29,8 @@ from tideline.session import settle
 
 MAX_BITS = 16
 BLOCK_IDS = 256
-SEGMENT_IDS = 1 << 17
+RUN_IDS = 64 * BLOCK_IDS
+SEGMENT_IDS = 1 << 18
 TEXTS_AT_ONCE = 64
 
 _STAGED = pa.schema(
@@ -102,27 +103,32 @@ def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
 
 
 def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The bits and the blocks' checkpoints."""
-    size = lengths[ids].astype(np.int64)
-    end = np.cumsum(size)
-    begin = end - size
-    total = int(end[-1]) if len(ids) else 0
+    """The bits and the blocks' checkpoints. Runs of ids are laid one after the other: their arrays stay in the cache."""
+    sizes = lengths[ids]
+    total = int(sizes.sum(dtype=np.int64))
     words = np.zeros((total >> 5) + 3, np.uint32)
-    if len(ids):
+    checkpoints, base = [np.zeros(0, np.int64)], 0
+    for start in range(0, len(ids), RUN_IDS):
+        size = sizes[start : start + RUN_IDS].astype(np.int64)
+        end = np.cumsum(size) + base
+        begin = end - size
+        base = int(end[-1])
+        checkpoints.append(begin[::BLOCK_IDS])
         at = begin >> 5
-        window = codes[ids].astype(np.uint64) << (64 - (begin & 31) - size).astype(np.uint64)
+        window = codes[ids[start : start + RUN_IDS]].astype(np.uint64) << (64 - (begin & 31) - size).view(np.uint64)
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         sums = np.add.reduceat(window, first)  # codes do not overlap: adding is or-ing
-        words[at[first]] += (sums >> np.uint64(32)).astype(np.uint32)
-        words[at[first] + 1] += (sums & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    return words.astype(">u4").tobytes()[: (total + 7) // 8 + 3], begin[::BLOCK_IDS]
+        place = at[first]
+        words[place] += (sums >> np.uint64(32)).astype(np.uint32)
+        words[place + 1] += sums.astype(np.uint32)
+    return words.astype(">u4").tobytes()[: (total + 7) // 8 + 3], np.concatenate(checkpoints)
 
 
 def decode_ids(bits: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
     """All blocks side by side: the k-th id of every block in step k."""
     if not n:
         return np.zeros(0, "<u4")
-    data = np.frombuffer(bits, np.uint8).astype(np.int64)
+    data = np.frombuffer(bits, np.uint8).astype(np.int32)
     windows = data[:-2] << 16 | data[1:-1] << 8 | data[2:]
     at = np.array(checkpoints, np.int64)
     out = np.zeros((len(at), BLOCK_IDS), "<u4")
