@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests_llm import SF, awkward, clashing, documents, rows_of
@@ -67,3 +68,25 @@ def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plain = [(r.doc_id, r.text) for r in docs.collect()]
     assert result(docs, block_bytes=64) == brute(plain)
+
+
+def test_chunks_stay_small():
+    rows = pa.record_batch(
+        [list(range(24)), list(range(24)), ["-"] * 24, [f"{n:07d}".encode() * 150_000 for n in range(24)]],
+        names=["_row", "doc_id", "text_sha256", "_text"],
+    )
+    found = pa.Table.from_batches(ed._chunk_batches(iter([rows]), 1024)).to_pylist()
+    held = defaultdict(int)
+    for r in found:
+        held[r["chunk"]] += len(r["block"] or b"")
+    assert len(held) > 2 and max(held.values()) <= 8 << 20
+    assert [r["_row"] for r in found if r["_row"] is not None] == list(range(24))
+
+
+def test_dropping_sorts_no_texts(spark, tmp_path):
+    docs = documents(spark, [(1, "a"), (2, "a"), (3, None), (None, "b")], tmp_path)
+    left = ed.drop_copies(docs)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "LeftAnti" in line)
+    assert "ShuffledHashJoin" in join and "SortMergeJoin" not in plan.split("LeftAnti")[0]
+    assert sorted(map(str, (r.doc_id for r in left.collect()))) == ["2", "3", "None"]

@@ -7,11 +7,12 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests_llm import SF, awkward, clashing
-from tideline.llm import packing as pk
+from tideline.llm import packing as pk, tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -101,3 +102,11 @@ def test_merge_over_several_rounds(spark):
             assert shift == at
             at += length
         assert at <= 100
+
+
+def test_a_task_leaves_no_units_in_its_worker():
+    rows = pa.record_batch([[0, 1], ["some words here", "others there"], [7, 8]], names=["_row", "_text", "doc_id"])
+    made = [r for b in pk._piece_batches(iter([rows]), PATH, 2, 4096, 4) for r in b.to_pylist()]
+    assert [r["doc_tokens"] for r in made if r["_row"] is not None] == [len(library_ids("some words here")), len(library_ids("others there"))]
+    held = tokens.encoder(PATH)
+    assert not held.units and not held.units_before and not held.parts

@@ -27,7 +27,7 @@ from tideline.llm.common import integer_names, number_rows, whole_text
 from tideline.session import settle
 
 BLOCK_BYTES = 1024
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 
 _BLOCK = [("chunk", pa.int64()), ("local", pa.int32()), ("n", pa.int64()), ("block", pa.binary())]
 _DOCUMENT = [("_row", pa.int64()), ("locals", pa.binary()), ("text_sha256", pa.string())]
@@ -183,7 +183,11 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without their exact copies, with all their columns; rules as in ``exact_groups``."""
+    """The documents without their exact copies, with all their columns; rules as in ``exact_groups``.
+
+    The numbers of the rows that go are hashed per partition, so the rows with their texts are neither sorted nor held.
+    """
     numbered = settle(number_rows(docs, "_copy_row"), "numbered-docs")
     dropped = exact_groups(numbered, doc_id=doc_id, text=text, row="_copy_row").where("not kept")
-    return numbered.join(dropped.select(F.col("row_number").alias("_copy_row")), "_copy_row", "left_anti").select(*docs.columns)
+    gone = dropped.select(F.col("row_number").alias("_copy_row")).hint("shuffle_hash")
+    return numbered.join(gone, "_copy_row", "left_anti").select(*docs.columns)

@@ -80,6 +80,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
                     origins.append(origin)
             schema = pa.schema([*_PIECE, ("doc_id", batch.column(2).type)])
             yield pa.record_batch([*(list(c) for c in zip(*out, strict=True)), batch.column(2).take(pa.array(origins))], schema)
+    words.forget()  # a task's texts fill a generation, so little would be asked for again
     if windows and windows.rooms:
         left = [(None, None, capacity - room, None, None, None, window, None, None) for room, window in windows.rooms]
         yield pa.record_batch([list(c) for c in zip(*left, strict=True)], schema)

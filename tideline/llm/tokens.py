@@ -67,7 +67,7 @@ class WordEncoder:
             self.plain = self._equal_on_probes()
 
     def _equal_on_probes(self) -> bool:
-        self._forget()
+        self.forget()
         return all(self._from_units([p]) == self._from_library([p]) for p in self.PROBES)
 
     def _lowers_and_cuts(self) -> bool:
@@ -83,7 +83,8 @@ class WordEncoder:
             and made["model"]["type"] == "BPE"
         )
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop all that is held: a worker that goes on to other work needs the room."""
         self.units: dict[str, bytes] = {}
         self.units_before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
