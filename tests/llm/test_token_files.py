@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -126,3 +127,21 @@ def test_runs_of_ids_leave_no_seam(n):
     before = np.concatenate([[0], np.cumsum(lengths[ids], dtype=np.int64)])[:-1] if n else np.zeros(0)
     assert checkpoints.tolist() == before[:: tf.BLOCK_IDS].tolist()
     assert (tf.decode_ids(bits, checkpoints, n, tf.decoding_table(lengths)) == ids).all()
+
+
+@pytest.mark.parametrize(("end_id", "width"), [(2, 2), ((1 << 16) - 1, 2), (1 << 16, 4), ((1 << 20) + 3, 4)])
+def test_staged_ids_are_as_wide_as_they_must_be(end_id, width):
+    texts = ["some words, 12 of them", "", "Größe naïve"]
+    rows = pa.record_batch([[3, 5, 9], texts], names=["doc_id", "_text"])
+    path = public_tokenizers.path("word_bpe_49k.json")
+    made = [r for b in tf._staged_batches(iter([rows]), path, end_id) for r in b.to_pylist()]
+    segment, told = made
+    counts = np.frombuffer(told["counts"], "<i8")
+    encode = Tokenizer.from_file(path).encode
+    ids = [i for t in texts for i in [*encode(t, add_special_tokens=False).ids, end_id]]
+    assert len(segment["ids"]) == width * len(ids) and counts.tolist() == np.bincount(ids).tolist()
+    lengths = tf.code_lengths(counts)
+    staged = pa.Table.from_pylist([{k: segment[k] for k in ("segment", "doc_ids", "lengths", "ids")} | {"part": 0}])
+    (packed,) = [r for b in tf._segment_batches(iter(staged.to_batches()), lengths) for r in b.to_pylist()]
+    back = tf.decode_ids(packed["bits"], packed["checkpoints"], packed["n_ids"], tf.decoding_table(lengths))
+    assert back.tolist() == ids

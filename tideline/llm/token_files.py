@@ -153,9 +153,11 @@ def _staged_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -
 
     def made() -> pa.RecordBatch:
         nonlocal counts
-        whole = b"".join(ids)
-        counts = _added(counts, np.bincount(np.frombuffer(whole, "<u4")))
-        return pa.record_batch([[segment], [docs], [lengths], [whole], pa.nulls(1, pa.binary())], _STAGED)
+        whole = np.frombuffer(b"".join(ids), "<u4")
+        own = np.bincount(whole)
+        counts = _added(counts, own)
+        stored = whole.astype("<u2") if len(own) <= 1 << 16 else whole  # half the bytes to pack, unpack and hand over
+        return pa.record_batch([[segment], [docs], [lengths], [stored.tobytes()], pa.nulls(1, pa.binary())], _STAGED)
 
     for whole in batches:
         for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
@@ -194,7 +196,7 @@ def _segment_batches(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) ->
     codes = canonical_codes(lengths)
     for batch in batches:
         for row in batch.to_pylist():
-            ids = np.frombuffer(row["ids"], "<u4")
+            ids = np.frombuffer(row["ids"], f"<u{len(row['ids']) // sum(row['lengths'])}")
             bits, checkpoints = encode_ids(ids, lengths, codes)
             yield pa.record_batch(
                 [[row["part"]], [row["segment"]], [row["doc_ids"]], [row["lengths"]], [len(ids)], [bits], [checkpoints]], _SEGMENT
