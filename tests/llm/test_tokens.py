@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,3 +35,23 @@ def test_whole_table_and_small_memory(spark):
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     small = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), units_held=50)
     assert small.encode(texts) == WORD.encode(texts) == WORD._from_library(texts)
+
+
+def test_case_and_marks_make_no_units_of_their_own():
+    """One word in many guises is learned once: what is held grows with the words, not with the marks around them."""
+    encoder = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoder.forget()
+    texts = ["Größe größe, GRÖSSE; (größe) Größe's", "größe...größe,,GRÖßE 12größe12", "größe;"]
+    assert encoder.encode(texts) == encoder._from_library(texts)
+    assert set(encoder.units) == {"größe", "grösse", ",", ";", "(", ")", "'s", "...", ",,", "12"}
+
+
+@pytest.mark.parametrize("size", [1, 7, 64])
+def test_blocks_leave_no_seam(monkeypatch, size):
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", size)
+    texts = ["", "a" * 200, " ", "Ab, c\nd's “é” " * 9, "x\n\n" * 30, "É×ß<|endoftext|>Y", "", "no-space-at-all," * 12, "end "]
+    assert WORD.encode(texts) == WORD._from_library(texts)
+    batch = pa.record_batch([list(range(len(texts) + 1)), [*texts, None]], names=["doc_id", "text"])
+    cut = list(tokens.slices(batch, 1))
+    assert pa.Table.from_batches(cut) == pa.Table.from_batches([batch]) and all(b.num_rows for b in cut)
+    assert list(tokens.slices(batch.slice(0, 0), 1)) == []

@@ -19,13 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import number_rows, whole_text
-from tideline.llm.tokens import END_ID, encoder
+from tideline.llm.tokens import END_ID, encoder, slices
 from tideline.session import settle
 
 SEQUENCE_TOKENS = 4096
 OPEN_WINDOWS = 128
 MERGED_PARTITIONS = 16
-TEXTS_AT_ONCE = 64
 
 _PIECE = [
     ("_row", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64()),
@@ -63,8 +62,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int, ca
     windows, end, size = None, np.array([end_id], "<u4").tobytes(), 4 * capacity
     words = encoder(path)
     for whole in batches:
-        for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
-            batch = whole.slice(at, TEXTS_AT_ONCE)
+        for batch in slices(whole, 1):
             rows = batch.column(0).to_pylist()
             if windows is None:
                 windows = OpenWindows(capacity, limit, (rows[0] >> 33) << 32)

@@ -24,14 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import whole_text
-from tideline.llm.tokens import END_ID, encoder
+from tideline.llm.tokens import END_ID, encoder, slices
 from tideline.session import settle
 
 MAX_BITS = 16
 BLOCK_IDS = 256
 RUN_IDS = 64 * BLOCK_IDS
 SEGMENT_IDS = 1 << 17
-TEXTS_AT_ONCE = 64
 
 _STAGED = pa.schema(
     [("segment", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("ids", pa.binary()),
@@ -160,8 +159,7 @@ def _staged_batches(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -
         return pa.record_batch([[segment], [docs], [lengths], [stored.tobytes()], pa.nulls(1, pa.binary())], _STAGED)
 
     for whole in batches:
-        for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
-            batch = whole.slice(at, TEXTS_AT_ONCE)
+        for batch in slices(whole, 1):
             for doc_id, found in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
                 docs.append(doc_id)
                 lengths.append(len(found) // 4 + 1)

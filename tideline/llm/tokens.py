@@ -7,13 +7,19 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
-UNITS_HELD = 300_000  # of a generation; the one before is kept beside it
-PARTS_HELD = 300_000
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+UNITS_HELD = 450_000  # of a generation; the one before is kept beside it
+BLOCK_BYTES = 1 << 22  # of text that is cut at once; longer texts are cut in blocks at their spaces
 END_ID = 2
 
-# letters whose lower case, composition and class no version of Unicode disputes, then marks (no apostrophe: contractions)
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_SPACE, _LETTER, _MARK, _DIGIT, _APOSTROPHE, _OTHER = range(6)
+_WORD = re.compile("[a-zß-öø-ÿ]+")
+_SIGNS = (b"\xc3\x97", b"\xc3\xb7")  # no letters, though they lie among them
 
 _LOADED: dict[str, WordEncoder] = {}  # one per worker process and file: its words serve later tasks too
 
@@ -38,18 +44,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows, each with about a block of text in that column."""
+    at_end = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)) // BLOCK_BYTES
+    cuts = [0, *(np.flatnonzero(at_end[1:] != at_end[:-1]) + 1).tolist(), batch.num_rows]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        if end > begin:
+            yield batch.slice(begin, end - begin)
+
+
 class WordEncoder:
     """Encodes texts with the tokenizers library, each distinct unit between spaces once while it is held.
 
     That equals encoding the whole text if the tokenizer joins and changes nothing across a space or line feed and drops
     both; this is probed when the file is loaded, and other tokenizers get whole texts. If it also lowers case and cuts
-    letters from marks, a unit of Latin letters with marks behind it is encoded as its lower-case word, straight by the
-    library's model, and its marks. All other units go through the whole library.
+    letters, digits and marks from each other, so are units of ASCII and of letters from À to ÿ: whole blocks of text
+    are lowered and cut by their bytes, and a word goes straight to the library's model. Lower case, composition and class
+    of these letters are disputed by no version of Unicode. An apostrophe stays before the letters behind it
+    (contractions), and a unit with any other character, or with one that may begin a special token, stays whole and as
+    it is. All units but words go through the whole library.
     """
 
     PROBES = (
         "a b", "ab  cd", "Ab\ncd", " a ", "a, b.c\n\nd's 12 e", "é ́ x", "\n", "The, ÉTÉ!! (x) |", "Größe;; naïve--",
-        "mañana. ß ÿ'", "x's,", "Ünterwegs&&& of%%% on***", "lowei\n\nQuoi?!",
+        "mañana. ß ÿ'", "x's,", "Ünterwegs&&& of%%% on***", "lowei\n\nQuoi?!", "a1b2c,3,'4'll 'x' ,'s don't,'re", "(A)b[C]'D1'E",
+        "À×Þ÷x", "it’s A\u0301B, I\u0307b", "a\tB\r\nC",
     )
 
     def __init__(self, path: str, units_held: int = UNITS_HELD):
@@ -61,10 +80,34 @@ class WordEncoder:
         self.letters = _byte_letters()
         self.units_held = units_held
         self.plain = False
+        self._lay_tables("")
         self.by_unit = self._equal_on_probes()
         if self.by_unit and self._lowers_and_cuts():
             self.plain = True
+            self._lay_tables("".join(t.content[0] for t in self.library.get_added_tokens_decoder().values()))
             self.plain = self._equal_on_probes()
+            if not self.plain:
+                self._lay_tables("")
+
+    def _lay_tables(self, special: str) -> None:
+        """What each byte is and becomes, and which pairs of bytes a unit begins between."""
+        kinds, becomes = np.full(256, _OTHER, np.uint8), np.arange(256, dtype=np.uint8)
+        kinds[[32, 10]], becomes[10] = _SPACE, 32
+        if self.plain:
+            kinds[33:127] = _MARK
+            kinds[48:58] = _DIGIT
+            kinds[39] = _APOSTROPHE
+            kinds[65:91] = kinds[97:123] = kinds[0xC3] = kinds[0x80:0xC0] = _LETTER
+            for first in special.encode():
+                kinds[first] = _OTHER
+            becomes[65:91] += 32
+            becomes[0x80:0x9F] += 32
+        begins = np.zeros((8, 8), bool)
+        begins[_SPACE, 1:6] = True
+        cut = (_LETTER, _MARK, _DIGIT, _APOSTROPHE)
+        begins[np.ix_(cut, cut)] = ~np.eye(4, dtype=bool)
+        begins[_APOSTROPHE, [_LETTER, _MARK]] = begins[_MARK, _APOSTROPHE] = False
+        self.kinds, self.becomes, self.begins = kinds.tobytes(), becomes.tobytes(), begins.reshape(-1)
 
     def _equal_on_probes(self) -> bool:
         self.forget()
@@ -87,14 +130,7 @@ class WordEncoder:
         """Drop all that is held: a worker that goes on to other work needs the room."""
         self.units: dict[str, bytes] = {}
         self.units_before: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _make_room(self, units: int) -> None:
-        """A full generation steps back and its predecessor goes; what is asked for again is taken over, not learned."""
-        if self.units and len(self.units) + units > self.units_held:
-            self.units_before, self.units = self.units, {}
-        if len(self.parts) > PARTS_HELD:
-            self.parts = {}
+        self.parts: dict[str, bytes] = {}  # units but words of the block at hand, learned in one call
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self._from_units(texts) if self.by_unit else self._from_library(texts)
@@ -106,39 +142,81 @@ class WordEncoder:
         spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return _packed([t.id for t in self.model.tokenize(spelled)])
 
-    def _learn(self, new: set[str]) -> None:
-        parts, others = self.parts, []
-        for unit in new:
-            cut = _PLAIN.fullmatch(unit) if self.plain else None
-            if not cut:
-                others.append(unit)
-                continue
-            word, marks = cut.groups()
-            word = word.lower()
-            ids = parts.get(word)
-            if ids is None:
-                ids = parts[word] = self._word(word)
-            if marks:
-                if marks not in parts:
-                    parts[marks] = self._from_library([marks])[0]
-                ids += parts[marks]
-            self.units[unit] = ids
-        if others:
-            self.units.update(zip(others, self._from_library(others), strict=True))
+    def _learn(self, new: list[str]) -> list[bytes]:
+        others = [u for u in new if not (self.plain and _WORD.fullmatch(u))]
+        self.parts = dict(zip(others, self._from_library(others), strict=True))
+        ids = [self.parts[u] if u in self.parts else self._word(u) for u in new]
+        self.parts = {}
+        return ids
+
+    def _ids(self, units: list[str]) -> list[bytes]:
+        """The ids of different units. A full generation steps back and its predecessor goes; what is asked for again is
+        taken over, not learned."""
+        if len(self.units) > self.units_held:
+            self.units_before, self.units = self.units, {}
+        held, before, new = self.units, self.units_before, []
+        found = list(map(held.get, units))
+        for n, unit in enumerate(units):
+            if found[n] is None:
+                ids = before.get(unit)
+                if ids is None:
+                    new.append(n)
+                else:
+                    found[n] = held[unit] = ids
+        if new:
+            for n, ids in zip(new, self._learn([units[n] for n in new]), strict=True):
+                found[n] = held[units[n]] = ids
+        return found
+
+    def _cut(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where in ``data`` each unit begins, where without its spaces, and what all bytes but the spaces become."""
+        marked = data.translate(self.kinds)
+        kinds = np.frombuffer(marked, np.uint8)
+        becomes = np.frombuffer(data.translate(self.becomes), np.uint8)
+        begins = self.begins[np.concatenate([kinds[:1] * 0, kinds[:-1]]) << 3 | kinds]
+        spaces = kinds == _SPACE
+        spaces_before = np.cumsum(spaces, dtype=np.int32)
+        if _OTHER in marked or any(s in data for s in _SIGNS):
+            raw, other = np.frombuffer(data, np.uint8), kinds == _OTHER
+            other[:-1] |= (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+            whole = np.zeros(int(spaces_before[-1]) + 1, bool)
+            whole[spaces_before[other]] = True
+            kept = whole[spaces_before]
+            becomes = np.where(kept, raw, becomes)
+            begins &= ~kept | np.concatenate([[True], spaces[:-1]])
+        at = np.flatnonzero(begins)
+        return at, at - spaces_before[at], becomes[~spaces]
+
+    def _from_block(self, pieces: list[bytes]) -> list[bytes]:
+        data = b"\n".join(pieces)
+        if not data:
+            return [b""] * len(pieces)
+        at, offsets, letters = self._cut(data)
+        offsets = np.append(offsets, len(letters)).astype(np.int32)
+        units = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
+        ids = pa.array(self._ids(units.dictionary.to_pylist()), pa.binary()).take(units.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int32)[: len(ids) + 1]
+        held = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        begin = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        cuts = ends[np.searchsorted(at, begin)].tolist()
+        return [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _from_units(self, texts: list[str]) -> list[bytes]:
-        out = []
+        out, block, size = [], [], 0
         for text in texts:
-            units = text.replace("\n", " ").split(" ")
-            different = set(units)
-            if new := different.difference(self.units):
-                if len(self.units) + len(new) > self.units_held:
-                    self._make_room(len(new))
-                    new = different
-                before = self.units_before
-                known = {u: before[u] for u in new if u in before}
-                self.units |= known
-                if len(known) < len(new):
-                    self._learn(new.difference(known))
-            out.append(b"".join(map(self.units.__getitem__, units)))
-        return out
+            raw, at, parts = text.encode(), 0, []
+            if size and size + len(raw) > BLOCK_BYTES:
+                out += self._from_block(block)
+                block, size = [], 0
+            while len(raw) - at > BLOCK_BYTES:
+                end = max(raw.rfind(s, at + 1, at + BLOCK_BYTES) for s in (b" ", b"\n"))
+                if end < 0:  # one unit fills the block
+                    end = min((x for s in (b" ", b"\n") if (x := raw.find(s, at + BLOCK_BYTES)) >= 0), default=len(raw))
+                parts += self._from_block([raw[at:end]])
+                at = end
+            if parts:
+                out.append(b"".join([*parts, *self._from_block([raw[at:]])]))
+            else:
+                block.append(raw)
+                size += len(raw) + 1
+        return out + self._from_block(block)
