@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-UNITS_HELD = 450_000  # of a generation; the one before is kept beside it
-BLOCK_BYTES = 1 << 22  # of text that is cut at once; longer texts are cut in blocks at their spaces
+UNITS_HELD = 300_000  # of a generation; the one before is kept beside it
+BLOCK_BYTES = 1 << 21  # of text that is cut at once; longer texts are cut in blocks at their spaces
 END_ID = 2
 
 _SPACE, _LETTER, _MARK, _DIGIT, _APOSTROPHE, _OTHER = range(6)
@@ -107,7 +107,7 @@ class WordEncoder:
         cut = (_LETTER, _MARK, _DIGIT, _APOSTROPHE)
         begins[np.ix_(cut, cut)] = ~np.eye(4, dtype=bool)
         begins[_APOSTROPHE, [_LETTER, _MARK]] = begins[_MARK, _APOSTROPHE] = False
-        self.kinds, self.becomes, self.begins = kinds.tobytes(), becomes.tobytes(), begins.reshape(-1)
+        self.kinds, self.becomes, self.begins = kinds.tobytes(), becomes.tobytes(), begins.tobytes().ljust(256, b"\0")
 
     def _equal_on_probes(self) -> bool:
         self.forget()
@@ -173,7 +173,9 @@ class WordEncoder:
         marked = data.translate(self.kinds)
         kinds = np.frombuffer(marked, np.uint8)
         becomes = np.frombuffer(data.translate(self.becomes), np.uint8)
-        begins = self.begins[np.concatenate([kinds[:1] * 0, kinds[:-1]]) << 3 | kinds]
+        pairs = kinds.copy()
+        pairs[1:] |= kinds[:-1] << 3
+        begins = np.frombuffer(pairs.tobytes().translate(self.begins), bool)
         spaces = kinds == _SPACE
         spaces_before = np.cumsum(spaces, dtype=np.int32)
         if _OTHER in marked or any(s in data for s in _SIGNS):
@@ -183,7 +185,7 @@ class WordEncoder:
             whole[spaces_before[other]] = True
             kept = whole[spaces_before]
             becomes = np.where(kept, raw, becomes)
-            begins &= ~kept | np.concatenate([[True], spaces[:-1]])
+            begins = begins & (~kept | np.concatenate([[True], spaces[:-1]]))
         at = np.flatnonzero(begins)
         return at, at - spaces_before[at], becomes[~spaces]
 
@@ -196,10 +198,10 @@ class WordEncoder:
         units = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(letters)).dictionary_encode()
         ids = pa.array(self._ids(units.dictionary.to_pylist()), pa.binary()).take(units.indices)
         ends = np.frombuffer(ids.buffers()[1], np.int32)[: len(ids) + 1]
-        held = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        held = memoryview(ids.buffers()[2]) if len(ids) else b""
         begin = np.cumsum([0, *(len(p) + 1 for p in pieces)])
         cuts = ends[np.searchsorted(at, begin)].tolist()
-        return [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [bytes(held[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def _from_units(self, texts: list[str]) -> list[bytes]:
         out, block, size = [], [], 0
