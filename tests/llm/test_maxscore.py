@@ -97,3 +97,25 @@ def test_many_ties_and_shards(spark, tmp_path):
         (q, rank, i, s) for (q, _), found in zip(queries, brute(quantised, queries, 3), strict=True) for rank, (i, s) in enumerate(found, 1)
     )
     assert result(vectors, shard_vectors=40, block_queries=2) == expected
+
+
+def test_query_blocks_are_never_broadcast(spark, tmp_path):
+    """They are as many as queries times shards, which no estimate of the plan sees; the driver would hold them all."""
+    rng = np.random.default_rng(3)
+    vectors = stored(spark, tmp_path, [(i, rng.normal(0, 1, 8).tolist(), 0) for i in range(400)])
+    found = ms.top_k(vectors, is_query=F.col("vec_id") % 50 == 0, k=3, shard_vectors=20, block_queries=2)
+    assert found.count() == 24
+    plan = found._jdf.queryExecution()
+    plan.executedPlan().execute().count()
+    final = plan.executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin [s_group" in final and "HashJoin [s_group" not in final
+
+
+def test_large_components_are_summed_in_integers():
+    """Sums beyond 2^53 differ by one; floats would call them equal."""
+    vectors = np.array([[1 << 27, 1], [1 << 27, 2], [1 << 27, 3], [5, 5]], np.int64)
+    query = np.array([1 << 27, 1], np.int64)
+    places, scores = ms.Shard(vectors, np.arange(4), np.arange(4)).best(query, 0, 3)
+    assert places.tolist() == [2, 1, 3] and scores.tolist() == [(1 << 54) + 3, (1 << 54) + 2, 5 * (1 << 27) + 5]
+    narrow = ms.Shard(np.array([[3, -1], [2, 2]], np.int8), np.arange(2), np.arange(2))
+    assert narrow.best(np.array([1, 1], np.int8), -1, 2)[1].tolist() == [4, 2]

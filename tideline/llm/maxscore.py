@@ -8,6 +8,8 @@ found there are then probed on the remaining dimensions, largest bound first, wh
 the other sign lower them on the way. Shards keep their k best, and those are merged.
 
 Query blocks meet shards by an equi-join on the shard number: every query sees every vector, in blocks of bounded size.
+The join is always a sort-merge one: the blocks are as many as queries times shards, which a plan's estimate does not see,
+and a broadcast of them would pass through the driver. One shard at a time is held beside the blocks that stream past it.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ SHARD_VECTORS = 8192
 BLOCK_QUERIES = 512
 TRAVERSED_AT_ONCE = 2048
 PROBED_AT_ONCE = 8
+GATHERED = 8  # places are gathered one by one where fewer than one in so many are asked for
 NO_SCORE = np.iinfo(np.int64).min
+EXACT = 2.0**53  # whole numbers below are exact as floats, whatever the order of a sum
 
 _HIT = pa.schema([("query", pa.int64()), ("_row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
@@ -39,10 +43,17 @@ class Shard:
         order = np.lexsort((rows, ids))  # ties go to the smaller id: ascending ids let equal scores lose later on
         self.ids, self.rows = ids[order], rows[order]
         self.by_dim = np.ascontiguousarray(vectors[order].T)
-        self.blocks = []
-        for at in range(0, len(order), TRAVERSED_AT_ONCE):
-            part = self.by_dim[:, at : at + TRAVERSED_AT_ONCE]
-            self.blocks.append((at, part, np.maximum(part.max(axis=1), 0), np.maximum(-part.min(axis=1), 0), {}))
+        self.most = np.abs(self.by_dim.astype(np.float64)).max(axis=1, initial=0)
+        self.blocks = {}
+
+    def blocks_of(self, kind: type) -> list[tuple]:
+        """The blocks as numbers of this kind, made when a query first asks for it."""
+        if kind not in self.blocks:
+            self.blocks[kind] = made = []
+            for at in range(0, len(self.ids), TRAVERSED_AT_ONCE):
+                part = np.ascontiguousarray(self.by_dim[:, at : at + TRAVERSED_AT_ONCE], kind)
+                made.append((at, part, np.maximum(part.max(axis=1), 0), np.maximum(-part.min(axis=1), 0), {}))
+        return self.blocks[kind]
 
     @staticmethod
     def posting(part: np.ndarray, lists: dict, dim: int, positive: bool) -> np.ndarray:
@@ -53,9 +64,14 @@ class Shard:
         return lists[key]
 
     def best(self, query: np.ndarray, own_row: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(places, scores) of the k best vectors other than the query's own row."""
-        places, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for at, part, highest, lowest, lists in self.blocks:
+        """(places, scores) of the k best vectors other than the query's own row.
+
+        Products are taken in floats where no sum of them can leave the whole numbers that floats hold, else in integers.
+        """
+        kind = np.float64 if np.abs(query.astype(np.float64)) @ self.most < EXACT else np.int64
+        query = query.astype(kind)
+        places, scores = np.zeros(0, np.int64), np.zeros(0, kind)
+        for at, part, highest, lowest, lists in self.blocks_of(kind):
             least = scores[-1] if len(scores) == k else None
             found, values = self._block(query, part, highest, lowest, lists, least)
             if len(found):
@@ -64,7 +80,7 @@ class Shard:
                 scores = np.concatenate([scores, values[other]])
                 order = np.lexsort((places, -scores))[:k]
                 places, scores = places[order], scores[order]
-        return places, scores
+        return places, scores.astype(np.int64)
 
     def _block(self, query, part, highest, lowest, lists, least):
         bound = np.where(query > 0, query * highest, -query * lowest)
@@ -84,7 +100,14 @@ class Shard:
                     if touched.all():
                         break
             alive = np.flatnonzero(touched)
-        scores = query[essential] @ part[np.ix_(essential, alive)] if len(essential) and len(alive) else np.zeros(len(alive), np.int64)
+        if not len(essential) or not len(alive):
+            scores = np.zeros(len(alive), query.dtype)
+        elif len(alive) * GATHERED < part.shape[1]:
+            scores = query[essential] @ part[np.ix_(essential, alive)]
+        else:  # the same sums: a product over whole rows costs less than gathering most of them
+            asked = np.zeros_like(query)
+            asked[essential] = query[essential]
+            scores = (asked @ part)[alive]
         rest = order[: len(order) - len(essential)][::-1]
         for step in range(0, len(rest) + 1, PROBED_AT_ONCE):
             competitive = scores + bound[rest[step:]].sum() > least  # an equal score has a larger id here: it loses
@@ -104,9 +127,14 @@ def _matrix(vectors: list) -> np.ndarray:
     return out
 
 
+PACKED = (np.int8, np.int16, np.int32, np.int64)
+
+
 def _packed(group: pd.DataFrame) -> pd.DataFrame:
-    """The vectors of a shard or block in one row; shorter ones are filled up with zeros."""
+    """The vectors of a shard or block in one row, in the fewest bytes that hold them; shorter ones are filled up with zeros."""
     vectors = _matrix(group["v"].tolist())
+    least, most = (vectors.min(), vectors.max()) if vectors.size else (0, 0)
+    vectors = vectors.astype(next(t for t in PACKED if np.iinfo(t).min <= least and most <= np.iinfo(t).max))
     row = {
         "rows": group["_row"].to_numpy(np.int64).tobytes(), "ids": group["vec_id"].to_numpy(np.int64).tobytes(),
         "width": vectors.shape[1], "vectors": vectors.tobytes(),
@@ -116,18 +144,22 @@ def _packed(group: pd.DataFrame) -> pd.DataFrame:
 
 def _unpacked(row: dict, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows, ids = (np.frombuffer(row[f"{name}_{c}"], np.int64) for c in ("rows", "ids"))
-    return np.frombuffer(row[f"{name}_vectors"], np.int64).reshape(len(rows), row[f"{name}_width"]), ids, rows
+    width = row[f"{name}_width"]
+    kind = np.dtype(f"i{len(row[f'{name}_vectors']) // (len(rows) * width)}") if width else np.int8
+    return np.frombuffer(row[f"{name}_vectors"], kind).reshape(len(rows), width), ids, rows
 
 
 def _hits(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    shard, number = None, None
     for batch in batches:
         for at in range(batch.num_rows):
-            row = batch.slice(at, 1).to_pylist()[0]
-            vectors, ids, rows = _unpacked(row, "s")
-            queries, _, own = _unpacked(row, "q")
-            width = max(vectors.shape[1], queries.shape[1])
-            vectors, queries = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (vectors, queries))
-            shard = Shard(vectors, ids, rows)
+            row = batch.slice(at, 1)
+            if row["s_group"][0].as_py() != number:  # the join's rows lie by shard
+                number = row["s_group"][0].as_py()
+                shard = Shard(*_unpacked(row.to_pylist()[0], "s"))
+            queries, _, own = _unpacked(row.select([c for c in row.schema.names if c.startswith("q_")]).to_pylist()[0], "q")
+            width = len(shard.by_dim)  # what lies beyond one side's end meets zeros
+            queries = np.pad(queries[:, :width], ((0, 0), (0, max(0, width - queries.shape[1]))))
             out = []
             for query, own_row in zip(queries, own, strict=True):
                 places, scores = shard.best(query, own_row, k)
@@ -185,8 +217,8 @@ def top_k(
     shards, n = _in_groups(good.drop("_asks"), "s", shard_vectors)
     queries, _ = _in_groups(good.where("_asks").drop("_asks"), "q", block_queries)
     everywhere = queries.withColumn("s_group", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    met = shards.join(everywhere, "s_group").select(
-        "s_rows", "s_ids", "s_width", "s_vectors", "q_rows", "q_ids", "q_width", "q_vectors"
+    met = everywhere.hint("merge").join(shards.hint("merge"), "s_group").select(
+        "s_group", "s_rows", "s_ids", "s_width", "s_vectors", "q_rows", "q_ids", "q_width", "q_vectors"
     )
     hits = met.mapInArrow(lambda b: _hits(b, k), "query long, _row long, vec_id long, score long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "_row")
